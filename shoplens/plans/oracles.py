@@ -231,8 +231,9 @@ def sql() -> dict[str, str]:
         "ad_blacklist": over(ads, "select user_id, ad_id, 'click over 100times.' as warning_msg "
                                   "from numbered where nth = 101", _CAPPED),
         "ad_clicks_capped_per_hour": over(ads, """
-            select user_id, ad_id, hour, least(n, 3) as passed, cast(n > 3 as int) as warned
-            from (select user_id, ad_id, timestamp // 3600 as hour, count(*) as n from ad_click group by 1, 2, 3) h"""),
+            select user_id, ad_id, cast(sum(least(n, 3)) as bigint) as passed, cast(count_if(n > 3) as bigint) as warned
+            from (select user_id, ad_id, timestamp // 3600 as hour, count(*) as n from ad_click group by 1, 2, 3) h
+            group by user_id, ad_id"""),
         "ad_count_by_province": over(ads, f"select province, {text_end('window_end')} as window_end, count from hot",
                                      _CAPPED + ",\nhot as (" + sliding("numbered", "province", 3600, 300,
                                                                        "nth <= 100") + ")"),
@@ -296,3 +297,95 @@ def sql() -> dict[str, str]:
         # sinks
         "daily_documents": over(both, DOCUMENTS, _TX),
     }
+
+
+def stream_sql() -> dict[str, str]:
+    """Oracles of the streaming queries: the batch result, cut where the final watermark stops it."""
+    ub, mk, log, ads, orders = ["user_behavior"], ["marketing"], ["access_log"], ["ad_click"], ["order_event"]
+    both = ["order_event", "receipt"]
+
+    def mark(source: str, delay_ms: int = 200) -> str:
+        """Last watermark of a stream in milliseconds."""
+        return f"(select max(timestamp)*1000 - {delay_ms} from {source})"
+
+    def closed(source: str) -> str:
+        return f"window_end <= {mark(source)}"
+
+    both_mark = f"(select least({mark('order_event', 300)}, {mark('receipt', 300)}))"
+    hot_items, hot_pages = "select * from hot where " + closed("user_behavior"), "select * from hot"
+    result = {
+        "stream_hot_item_counts": over(ub, hot_items, _HOT_ITEMS),
+        "stream_hot_items_top_n": over(ub, "select * from ranked where " + closed("user_behavior"),
+                                       _HOT_ITEMS + ",\n" + _ranked("item_id")),
+        "stream_hot_page_counts": over(log, hot_pages, _HOT_PAGES),
+        "stream_hot_pages_top_n": over(log, "select * from ranked", _HOT_PAGES + ",\n" + _ranked("url")),
+        "stream_hot_page_changes": over(log, "select *, true as added from hot", _HOT_PAGES),
+        "stream_late_split": over(log, f"select * from access_log where {_PAGE}"),
+        "stream_uv_bloom_running": sql()["uv_bloom_running"],
+        "stream_ad_clicks_capped": sql()["ad_clicks_capped"],
+        "stream_ad_blacklist": sql()["ad_blacklist"],
+        "stream_interval_join": sql()["pay_receipt_interval_join"],
+        "stream_daily_documents": sql()["daily_documents"],
+        "stream_ad_count_by_province": over(
+            ads, f"select province, {text_end('window_end')} as window_end, count from hot where " + closed("ad_click"),
+            _CAPPED + ",\nhot as (" + sliding("numbered", "province", 3600, 300, "nth <= 100") + ")"),
+        "stream_marketing_total": over(
+            mk, f"select 'total' as channel, 'total' as behavior, {text_end('window_end')} as window_end, count "
+                "from hot where " + closed("marketing"),
+            "hot as (" + sliding("marketing", "", 3600, 300, "behavior<>'UNINSTALL'") + ")"),
+        "stream_marketing_by_channel": over(
+            mk, f"select channel, behavior, {text_end('window_end')} as window_end, count from hot where "
+                + closed("marketing"),
+            "hot as (" + sliding("marketing", "channel, behavior", 3600, 300, "behavior<>'UNINSTALL'") + ")"),
+        "stream_login_fail_window": over(["login"], f"""
+            select w.user_id, anchor as first_fail_time, max(w.timestamp) as last_fail_time,
+                   'login fail in 5s for '||count(*)||' times' as warning_msg
+            from walk w left join ends e on e.user_id = w.user_id and e.island = w.island
+                 left join (select user_id, max(timestamp) as final from login group by user_id) u
+                   on u.user_id = w.user_id
+            group by w.user_id, w.island, anchor
+            having count(*) >= 5 and coalesce(min(e.stop) > anchor + 5, true)
+               and (max(final) > anchor + 5 or (anchor + 5)*1000 <= {mark('login', 3000)})""", _P1, recursive=True),
+        "stream_login_fail_consecutive": over(["login"], f"""
+            select user_id, first as first_fail_time, timestamp as last_fail_time, 'login fail 3 times' as warning_msg
+            from (select *, lag(timestamp, 2) over w as first, lag(login_state) over w as s1,
+                         lag(login_state, 2) over w as s2
+                  from login window w as (partition by user_id order by timestamp, seq)) l
+            where login_state='fail' and s1='fail' and s2='fail' and timestamp - first < 5
+              and timestamp*1000 <= {mark('login', 3000)}"""),
+        "stream_order_pay_monitor": over(orders, f"""
+            select order_id, case when waited >= 0 and waited < 900 then 'payed successfully'
+                        when waited = 900 then 'payed but already timeout' else 'timeout' end as result_state,
+                   not coalesce(waited >= 0 and waited < 900, false) as is_timeout_side
+            from (select c.order_id, c.timestamp as created, p.timestamp - c.timestamp as waited
+                  from order_event c left join order_event p on p.order_id = c.order_id and p.event_type = 'pay'
+                  where c.event_type = 'create') x
+            where waited >= 0 or (created + 900)*1000 <= {mark('order_event')}
+            union all
+            select p.order_id, 'payed but not found created log', true
+            from order_event p left join order_event c on c.order_id = p.order_id and c.event_type = 'create'
+            where p.event_type = 'pay' and (c.order_id is null or p.timestamp > c.timestamp + 900)
+              and p.timestamp*1000 <= {mark('order_event')}"""),
+        "stream_order_pay_pattern": over(orders, f"""
+            select order_id, case when paid then 'payId' else 'timeout'||(timestamp*1000 + 300000) end as result_state,
+                   not paid as is_timeout_side
+            from (select c.*, exists (select 1 from order_event p where p.order_id = c.order_id
+                         and p.event_type='pay' and p.timestamp >= c.timestamp and p.timestamp < c.timestamp + 300
+                         and p.timestamp*1000 <= {mark('order_event')}) as paid
+                  from order_event c where event_type='create') x
+            where paid or (timestamp + 300)*1000 <= {mark('order_event')}"""),
+        "stream_reconcile": over(both, f"""
+            select 'matched' as outcome, tx_id, order_id, event_type, order_time, pay_channel, receipt_time from pairs
+            union all
+            select 'unmatched-pay', tx_id, order_id, event_type, timestamp, null, 0 from pays p
+            where not exists (select 1 from pairs m where m.tx_id = p.tx_id) and (timestamp + 5)*1000 < {both_mark}
+            union all
+            select 'unmatched-receipt', tx_id, 0, null, 0, pay_channel, timestamp from receipt r
+            where not exists (select 1 from pairs m where m.tx_id = r.tx_id)
+              and (timestamp + 3)*1000 < {both_mark}""", _TX),
+    }
+    for name, count, label in [("pv_tumbling", "count(*)", "pv"), ("pv_salted", "count(*)", "pv"),
+                               ("uv_exact", "count(distinct user_id)", "uv")]:
+        result["stream_" + name] = over(
+            ub, f"select * from ({_hours(count, label)}) h where " + closed("user_behavior"))
+    return result

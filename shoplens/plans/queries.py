@@ -129,9 +129,9 @@ def _capped(spark, sf, **options):
 
 def _capped_per_hour(spark, sf):
     passed, warnings = _capped(spark, sf, cap=3, cycle_s=3600)
-    clicks = passed.groupBy("user_id", "ad_id", F.floor(F.col("timestamp") / 3600).alias("hour")).agg(
-        F.count("*").alias("passed"))
-    return clicks.withColumn("warned", (F.col("passed") > 2).cast("int"))
+    rows = passed.select("user_id", "ad_id", F.lit(1).alias("p"), F.lit(0).alias("w")).unionByName(
+        warnings.select("user_id", "ad_id", F.lit(0).alias("p"), F.lit(1).alias("w")))
+    return rows.groupBy("user_id", "ad_id").agg(F.sum("p").alias("passed"), F.sum("w").alias("warned"))
 
 
 # --- joins, dates, validation, sinks ---------------------------------------------------------

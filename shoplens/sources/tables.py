@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from shoplens.session import pin
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+def load(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
+    path = f"{sf_dir}/{name}.parquet"
+    table = pin(spark).read.parquet(path)
+    # a stream source takes a single file only through a pattern
+    return spark.readStream.schema(table.schema).parquet(path + "*") if streaming else table
 
 
 def _seconds(df: DataFrame, column: str) -> Column:
@@ -33,8 +36,8 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
-def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events")
+def user_behavior(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    events = load(spark, sf_dir, "events", streaming)
     kinds = {"view": "pv", "purchase": "buy", "click": "cart"}
     return events.select(
         "user_id",
@@ -46,8 +49,8 @@ def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events")
+def access_log(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    events = load(spark, sf_dir, "events", streaming)
     # at most fifty pages take part, so this side stays tiny at any scale
     pages = load(spark, sf_dir, "pages").where("page_id BETWEEN 0 AND 49").select("page_id", "url")
     joined = events.join(F.broadcast(pages), F.col("event_id") % 50 == F.col("page_id"))
@@ -68,8 +71,8 @@ def delayed_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return access_log(spark, sf_dir).withColumn("arrival", order)
 
 
-def marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events")
+def marketing(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    events = load(spark, sf_dir, "events", streaming)
     kinds = {"view": "BROWSE", "click": "CLICK", "purchase": "DOWNLOAD", "signup": "INSTALL"}
     channel = F.when(F.col("user_id") % 3 == 0, "app store").when(F.col("user_id") % 3 == 1, "wechat")
     return events.select(
@@ -81,8 +84,8 @@ def marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ad_click(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = load(spark, sf_dir, "lineitem")
+def ad_click(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    lineitem = load(spark, sf_dir, "lineitem", streaming)
     supplier = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     ad = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
@@ -128,19 +131,19 @@ def _tx() -> Column:
     return F.concat(F.lit("tx"), F.col("o_orderkey").cast("string"))
 
 
-def order_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    creates = orders.where("o_orderkey % 50 <> 7").select(
-        F.col("o_orderkey").alias("order_id"), F.lit("create").alias("event_type"),
-        F.lit("").alias("tx_id"), _seconds(orders, "o_orderdate").alias("timestamp"))
-    pays = orders.where("o_orderkey % 4 <> 0").select(
-        F.col("o_orderkey").alias("order_id"), F.lit("pay").alias("event_type"),
-        _tx().alias("tx_id"), _pay_second().alias("timestamp"))
-    return creates.unionByName(pays)
+def order_event(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    orders = load(spark, sf_dir, "orders", streaming).select("o_orderkey", "o_orderdate")
 
+    def event(kind: str, tx: Column, at: Column) -> Column:
+        return F.struct(F.lit(kind).alias("event_type"), tx.alias("tx_id"), at.alias("timestamp"))
 
-def receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    create = F.when(F.col("o_orderkey") % 50 != 7, event("create", F.lit(""), _seconds(orders, "o_orderdate")))
+    pay = F.when(F.col("o_orderkey") % 4 != 0, event("pay", _tx(), _pay_second()))
+    return orders.select(F.col("o_orderkey").alias("order_id"), F.inline(F.array_compact(F.array(create, pay))))
+
+
+def receipt(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    orders = load(spark, sf_dir, "orders", streaming).select("o_orderkey", "o_orderdate")
     channel = F.when(F.col("o_orderkey") % 3 == 0, "alipay").when(F.col("o_orderkey") % 3 == 1, "wechat")
     return orders.where("o_orderkey % 6 <> 0").select(
         _tx().alias("tx_id"), channel.otherwise("card").alias("pay_channel"),

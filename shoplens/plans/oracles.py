@@ -384,6 +384,8 @@ def stream_sql() -> dict[str, str]:
             where not exists (select 1 from pairs m where m.tx_id = r.tx_id)
               and (timestamp + 3)*1000 < {both_mark}""", _TX),
     }
+    for name in ("stream_order_pay_monitor", "stream_order_pay_pattern"):
+        result[name + "_join"] = result[name]
     for name, count, label in [("pv_tumbling", "count(*)", "pv"), ("pv_salted", "count(*)", "pv"),
                                ("uv_exact", "count(distinct user_id)", "uv")]:
         result["stream_" + name] = over(

@@ -154,6 +154,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             s, processors.login_fail_consecutive(_logins(s, d), "seq")),
         "stream_order_pay_monitor": lambda s, d: _drain(s, processors.order_pay_monitor(_orders(s, d))),
         "stream_order_pay_pattern": lambda s, d: _drain(s, processors.order_pay_pattern(_orders(s, d))),
+        "stream_order_pay_monitor_join": lambda s, d: _drain(s, joins.order_pay_monitor(_orders(s, d))),
+        "stream_order_pay_pattern_join": lambda s, d: _drain(s, joins.order_pay_pattern(_orders(s, d))),
         "stream_reconcile": _reconcile,
         "stream_interval_join": lambda s, d: _drain(s, _matched(s, d)),
         "stream_daily_documents": _daily,

@@ -34,15 +34,13 @@ def _start(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int],
 
 def write_batch(df: DataFrame, batch_id: int, path: str, partitions: tuple[str, ...] = (),
                 max_records: int = 0, fmt: str = "parquet") -> None:
-    """Write one micro-batch into its own ``batch_id`` partitions, replacing an earlier try."""
+    """Write one micro-batch into its own ``batch_id`` folder, replacing an earlier try."""
     if partitions:
         # few files per target folder, while a folder that gets most rows is still split
         df = df.hint("rebalance", *partitions)
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite").format(fmt)
-        .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records)
-        .partitionBy(*partitions, "batch_id").save(path)
+        df.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", max_records)
+        .partitionBy(*partitions).save(f"{path}/batch_id={batch_id}")
     )
 
 
@@ -69,7 +67,7 @@ def split_sink(stream: DataFrame, paths: dict[str, str], checkpoint: str, column
 
 def daily_sink(documents: DataFrame, path: str, checkpoint: str, max_records: int = 100_000,
                fmt: str = "json", drain: bool = False) -> StreamingQuery:
-    """K2-K4: documents below ``day=.../batch_id=...``, at most ``max_records`` per file."""
+    """K2-K4: documents below ``batch_id=.../day=...``, at most ``max_records`` per file."""
     def write(df: DataFrame, batch_id: int) -> None:
         write_batch(df, batch_id, path, ("day",), max_records, fmt)
     return _start(documents, checkpoint, write, "append", drain)

@@ -15,49 +15,59 @@ RANGE_BITS = 20
 _COARSE_BITS = 10
 
 
+def _in_ranges(df: DataFrame, order: str, bits: int) -> DataFrame:
+    """Add the range of a row and the group of 1024 ranges it belongs to.
+
+    Stating that both are known keeps the optimizer from adding that filter to
+    some uses of the result only, so Spark can reuse one exchange for all.
+    """
+    ranged = df.withColumn("_range", F.shiftright(order, bits)).withColumn(
+        "_coarse", F.shiftright(order, bits + _COARSE_BITS))
+    return ranged.where("_range IS NOT NULL AND _coarse IS NOT NULL")
+
+
 def _carry(per_range: DataFrame, keys: list[str], value: str, combine) -> DataFrame:
-    """Per key and ``_range``: the combined ``value`` of all earlier ranges, as ``_carry``.
+    """Per key and ``_range``: the combined ``value`` of earlier ranges.
 
-    Ranges are themselves grouped by the thousand, so the widest window here sees
-    one row per 2**(bits + 10) order values of a key.
+    ``_inner`` covers the ranges of the same coarse group and ``_base`` the groups
+    before it, so the widest window sees one row per 2**(bits + 10) order values.
     """
-    coarse = per_range.withColumn("_coarse", F.shiftright("_range", _COARSE_BITS))
-    earlier = lambda by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    heads = coarse.groupBy(*keys, "_coarse").agg(combine(value).alias("_head"))
-    heads = heads.select(*keys, "_coarse",
-                         combine("_head").over(earlier(keys).orderBy("_coarse")).alias("_base"))
-    inner = coarse.withColumn("_inner", combine(value).over(earlier([*keys, "_coarse"]).orderBy("_range")))
-    joined = inner.join(heads, [*keys, "_coarse"])
-    return joined.select(*keys, "_range", "_base", "_inner")
+    def earlier(by: list[str], order: str):
+        return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    heads = per_range.groupBy(*keys, "_coarse").agg(combine(value).alias("_head"))
+    heads = heads.select(*keys, "_coarse", combine("_head").over(earlier(keys, "_coarse")).alias("_base"))
+    inner = per_range.withColumn("_inner", combine(value).over(earlier([*keys, "_coarse"], "_range")))
+    return inner.join(heads, [*keys, "_coarse"]).select(*keys, "_coarse", "_range", "_base", "_inner")
 
 
 def running_count(df: DataFrame, keys: list[str], order: str, out: str = "count",
                   bits: int = RANGE_BITS) -> DataFrame:
     """Number the rows of every key along ``order``, from 1."""
-    ranged = df.withColumn("_range", F.shiftright(order, bits))
-    totals = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    ranged = _in_ranges(df, order, bits)
+    totals = ranged.groupBy(*keys, "_coarse", "_range").agg(F.count("*").alias("_n"))
     carry = _carry(totals, keys, "_n", F.sum)
-    local = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(order))
+    local = F.row_number().over(Window.partitionBy(*keys, "_coarse", "_range").orderBy(order))
     before = F.coalesce("_base", F.lit(0)) + F.coalesce("_inner", F.lit(0))
     return (
         ranged.withColumn("_local", local)
-        .join(carry, [*keys, "_range"])
+        .join(carry, [*keys, "_coarse", "_range"])
         .withColumn(out, F.col("_local") + before)
-        .drop("_range", "_local", "_base", "_inner")
+        .drop("_range", "_coarse", "_local", "_base", "_inner")
     )
 
 
 def max_before(df: DataFrame, value: str, order: str, out: str,
                bits: int = RANGE_BITS) -> DataFrame:
     """Largest ``value`` among all rows earlier in ``order``; null for the first row."""
-    ranged = df.withColumn("_range", F.shiftright(order, bits))
-    tops = ranged.groupBy("_range").agg(F.max(value).alias("_top"))
+    ranged = _in_ranges(df, order, bits)
+    tops = ranged.groupBy("_coarse", "_range").agg(F.max(value).alias("_top"))
     carry = _carry(tops, [], "_top", F.max)
-    earlier = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_coarse", "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local: Column = F.max(value).over(earlier)
     return (
         ranged.withColumn("_local", local)
-        .join(carry, "_range")
+        .join(carry, ["_coarse", "_range"])
         .withColumn(out, F.greatest("_local", "_base", "_inner"))
-        .drop("_range", "_local", "_base", "_inner")
+        .drop("_range", "_coarse", "_local", "_base", "_inner")
     )

@@ -48,7 +48,7 @@ def _login_seconds(logins: DataFrame, tie: str) -> DataFrame:
         F.min(F.when(success, F.col(tie))).alias("s_min"), F.max(F.when(success, F.col(tie))).alias("s_max"),
     )
     inside = lambda c: (F.col(c) > F.col("f_min")) & (F.col(c) < F.col("f_max"))
-    mixed = F.coalesce(inside("s_min") | inside("s_max"), F.lit(False))
+    mixed = F.coalesce((F.col("n") > 1) & (inside("s_min") | inside("s_max")), F.lit(False))
     none = F.lit(0).cast("bigint")
     head = F.when(F.col("s_min").isNull() | (F.col("f_max") < F.col("s_min")), F.col("n")).otherwise(none)
     tail = F.when(F.col("f_min") > F.col("s_max"), F.col("n")).otherwise(none)
@@ -109,12 +109,17 @@ def login_fail_window(logins: DataFrame, tie: str, max_fail: int = 5, within_s:
     """
     bigint = lambda value: F.lit(value).cast("bigint")
     seconds = _login_seconds(logins, tie).withColumn("_chunk", floor_div("timestamp", chunk_s))
-    chunks = seconds.groupBy("user_id", "_chunk").agg(
+    # both uses of the chunks read this one exchange, also when the input comes split by user
+    chunks = seconds.repartition("user_id", "_chunk").groupBy("user_id", "_chunk").agg(
         F.sort_array(F.collect_list(F.struct("timestamp", "head", "success", "tail"))).alias("_rows"))
 
-    # state i: window begun i seconds before the chunk; state 0: none
+    # state i: window begun i seconds before the chunk; state 0: none.  A chunk whose first
+    # row comes after all such windows have ended leaves in one state only.
     start = F.col("_chunk") * chunk_s
-    entries = F.array(F.lit(None).cast("bigint"), *(start - i for i in range(1, within_s + 1)))
+    no_window = F.lit(None).cast("bigint")
+    reached = F.get("_rows", F.lit(0))["timestamp"] - start < within_s
+    entries = F.when(reached, F.array(no_window, *(start - i for i in range(1, within_s + 1)))).otherwise(
+        F.array(no_window))
     exits = F.aggregate("_rows", entries, lambda states, row: F.transform(
         states, lambda anchor: _next_anchor(anchor, row, within_s)))
     per_user = (
@@ -130,7 +135,7 @@ def login_fail_window(logins: DataFrame, tie: str, max_fail: int = 5, within_s:
         found = F.when(carried, F.array(F.struct(
             table["_chunk"].alias("_chunk"), state["anchor"].alias("_entry")))).otherwise(
             F.array().cast("array<struct<_chunk: bigint, _entry: bigint>>"))
-        slot = F.when(carried, age).otherwise(bigint(0)).cast("int")
+        slot = F.when(carried & (F.size(table["_exits"]) > 1), age).otherwise(bigint(0)).cast("int")
         return F.struct(F.get(table["_exits"], slot).alias("anchor"),
                         F.concat(state["found"], found).alias("found"))
 
@@ -172,6 +177,7 @@ def login_fail_consecutive(logins: DataFrame, tie: str, times: int = 3, within_s
     slices = F.sequence(floor_div("timestamp", slice_s), floor_div(F.col("timestamp") + within_s - 1, slice_s))
     rows = logins.select("user_id", "timestamp", F.col(tie).alias("_tie"), fail.alias("_fail"),
                          F.explode(slices).alias("_slice"))
+    rows = rows.repartition("user_id", "_slice")  # not by user alone, should the input come that way
     ordered = Window.partitionBy("user_id", "_slice").orderBy("timestamp", "_tie")
     marked = rows.withColumn("first_fail_time", F.lag("timestamp", times - 1).over(ordered)).withColumn(
         "_all_failed", F.min("_fail").over(ordered.rowsBetween(-(times - 1), 0)))

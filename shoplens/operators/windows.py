@@ -24,8 +24,7 @@ def floor_to(column: Column | str, step: int) -> Column:
 
 def floor_div(column: Column | str, step: int) -> Column:
     """Whole steps below the value, also for values below zero."""
-    column = F.col(column) if isinstance(column, str) else column
-    return ((column - F.pmod(column, F.lit(step))) / F.lit(step)).cast("bigint")
+    return F.call_function("div", floor_to(column, step), F.lit(step))
 
 
 def tumbling_end(size: str, column: str = "timestamp") -> Column:

@@ -124,10 +124,9 @@ def _reconcile(spark, sf):
 
 def _daily(spark, sf):
     folder = scratch_dir(spark, "daily")
-    sinks.daily_sink(document_rows(_matched(spark, sf)), f"{folder}/out", f"{folder}/checkpoint",
-                     fmt="parquet", drain=True).awaitTermination()
-    written = spark.read.parquet(f"{folder}/out").drop("batch_id")
-    return written.withColumn("day", written["day"].cast("string"))
+    documents = document_rows(_matched(spark, sf))
+    sinks.daily_sink(documents, f"{folder}/out", f"{folder}/checkpoint", drain=True).awaitTermination()
+    return spark.read.schema(documents.schema).json(f"{folder}/out").drop("batch_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,7 +6,7 @@ events, ``seq`` for logins, the line item key for ad clicks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.session import pin
@@ -108,19 +108,19 @@ CLICK_TIE = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
 
 
 def login(spark: SparkSession, sf_dir: str) -> DataFrame:
-    load(spark, sf_dir, "orders").createOrReplaceTempView("_login_orders")
-    load(spark, sf_dir, "lineitem").createOrReplaceTempView("_login_lineitem")
-    return spark.sql("""
-        SELECT user_id, concat('10.0.0.', user_id % 256) AS ip, login_state,
-               1704067200 + user_id * 60 + (seq DIV 2) + (seq DIV 9) * 7 AS timestamp, seq
-        FROM (SELECT user_id, login_state,
-                     CAST(row_number() OVER (PARTITION BY user_id ORDER BY l_partkey, l_suppkey,
-                          l_orderkey, l_linenumber, l_extendedprice) - 1 AS BIGINT) AS seq
-              FROM (SELECT l_orderkey % (SELECT count(*) DIV 4 FROM _login_orders) AS user_id,
-                           CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O'
-                                THEN 'success' ELSE 'fail' END AS login_state,
-                           l_partkey, l_suppkey, l_orderkey, l_linenumber, l_extendedprice
-                    FROM _login_lineitem))""")
+    users = load(spark, sf_dir, "orders").count() // 4  # read from the file footers
+    number = F.row_number().over(Window.partitionBy("user_id").orderBy(
+        "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice"))
+    success = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
+    attempts = load(spark, sf_dir, "lineitem").withColumn("user_id", F.col("l_orderkey") % users)
+    clock = F.lit(1704067200) + F.col("user_id") * 60 + F.expr("seq DIV 2") + F.expr("seq DIV 9") * 7
+    return attempts.withColumn("seq", (number - 1).cast("bigint")).select(
+        "user_id",
+        F.concat(F.lit("10.0.0."), (F.col("user_id") % 256).cast("string")).alias("ip"),
+        F.when(success, "success").otherwise("fail").alias("login_state"),
+        clock.cast("bigint").alias("timestamp"),
+        "seq",
+    )
 
 
 def _pay_second() -> Column:

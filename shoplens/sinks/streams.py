@@ -137,8 +137,8 @@ def late_split_sink(log: DataFrame, on_time: str, late: str, state: str, checkpo
             before = carried.before(spark, batch_id)
             seen = before.agg(F.max("seen")).first()[0]
             newest_end = F.col("timestamp") - F.pmod("timestamp", F.lit(slide_s)) + size_s
-            passed = F.lit(None) if seen is None else F.lit(seen - delay_s)
-            is_late = F.coalesce((newest_end + lateness_s) * 1000 - 1 <= passed * 1000, F.lit(False))
+            watermark = F.lit(None if seen is None else (seen - delay_s) * 1000).cast("bigint")
+            is_late = F.coalesce((newest_end + lateness_s) * 1000 - 1 <= watermark, F.lit(False))
             views = hot.page_views(held)
             write_batch(views.where(~is_late), batch_id, on_time)
             write_batch(views.where(is_late), batch_id, late)

@@ -60,7 +60,11 @@ class ClickCap(StatefulProcessor):
 
 
 def cap_clicks(clicks: DataFrame, tie: list[str], cap: int = 100, rolling: bool = False) -> DataFrame:
-    """Clicks with ``kind``: pass, or warn for the one click that reports the user."""
+    """Clicks with ``kind``: pass, or warn for the one click that reports the user.
+
+    The ``rolling`` form sets processing-time timers, which keep a query running: stop it, do
+    not drain it.
+    """
     keyed = clicks.withColumn("_day", F.floor(F.col("timestamp") / 86400))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in clicks.schema.fields)
     keys = ["user_id", "ad_id"] if rolling else ["user_id", "ad_id", "_day"]

@@ -1,6 +1,7 @@
 """Streams against the batch forms, over several micro-batches, with restarts and late rows."""
 
 import os
+import time
 
 import pytest
 
@@ -227,8 +228,14 @@ def test_click_cap_over_batches(spark, tmp_path):
 def test_click_cap_in_a_rolling_cycle(spark, tmp_path):
     batches = [[(1, 1, "p", "c", H + n * 40_000, n) for n in range(3)], [(1, 1, "p", "c", H, 7), (2, 1, "p", "c", H, 8)]]
     stream = with_event_time(feed(spark, tmp_path / "in", batches, CLICK))
-    got = drain(spark, processors.cap_clicks(stream, ["tie"], cap=2, rolling=True), tmp_path)
-    assert table(got.select("tie", "kind")) == [(0, "pass"), (1, "pass"), (2, "warn"), (8, "pass")]
+    # processing-time timers keep a query alive, so it is stopped rather than drained
+    query = processors.cap_clicks(stream, ["tie"], cap=2, rolling=True).writeStream.format("memory").queryName(
+        "rolling").option("checkpointLocation", f"{tmp_path}/checkpoint").start()
+    until = time.time() + 60
+    while spark.table("rolling").count() < 4 and time.time() < until:
+        time.sleep(0.5)
+    query.stop()
+    assert table(spark.table("rolling").select("tie", "kind")) == [(0, "pass"), (1, "pass"), (2, "warn"), (8, "pass")]
 
 
 # --- joins, sinks, sources ---------------------------------------------------------------------

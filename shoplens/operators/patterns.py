@@ -105,7 +105,8 @@ def login_fail_window(logins: DataFrame, tie: str, max_fail: int = 5, within_s:
     no open window, or one begun 1..within_s seconds before the chunk.  Stringing
     these small tables together per user gives the true entry state, and each
     chunk then fills in its windows on its own.  A chunk has at most ``chunk_s``
-    rows whatever the number of logins.
+    rows whatever the number of logins, and a user one small table per ``chunk_s``
+    of the time covered: 52,560 in a year.
     """
     bigint = lambda value: F.lit(value).cast("bigint")
     seconds = _login_seconds(logins, tie).withColumn("_chunk", floor_div("timestamp", chunk_s))

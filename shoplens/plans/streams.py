@@ -6,7 +6,8 @@ a scratch folder, and returns what the sink holds.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -30,9 +31,27 @@ def _upsert(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return sinks.upsert_sink(stream, path, checkpoint, drain=True)
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """No more state partitions than cores; a query keeps the number it was started with."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), max(spark.sparkContext.defaultParallelism, 1))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _run(spark: SparkSession, start: Callable[[], StreamingQuery]) -> None:
+    with _state_partitions(spark):
+        query = start()
+    query.awaitTermination()
+
+
 def _drain(spark: SparkSession, stream: DataFrame, sink: Sink = _append, keep: bool = False) -> DataFrame:
     folder = scratch_dir(spark, "stream")
-    sink(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    _run(spark, lambda: sink(stream, f"{folder}/out", f"{folder}/checkpoint"))
     result = spark.read.parquet(f"{folder}/out")
     return result if keep else result.drop("batch_id")
 
@@ -97,8 +116,8 @@ def _uv_hll(spark, sf):
 
 def _late(spark, sf):
     folder = scratch_dir(spark, "late")
-    sinks.late_split_sink(_log(spark, sf), f"{folder}/on_time", f"{folder}/late", f"{folder}/state",
-                          f"{folder}/checkpoint", drain=True).awaitTermination()
+    _run(spark, lambda: sinks.late_split_sink(
+        _log(spark, sf), f"{folder}/on_time", f"{folder}/late", f"{folder}/state", f"{folder}/checkpoint", drain=True))
     return spark.read.parquet(f"{folder}/on_time").drop("batch_id", "ts")
 
 
@@ -108,8 +127,9 @@ def _capped(spark, sf):
 
 def _capped_split(spark, sf):
     folder = scratch_dir(spark, "capped")
-    sinks.split_sink(_capped(spark, sf), {"pass": f"{folder}/passed", "warn": f"{folder}/warned"},
-                     f"{folder}/checkpoint", "kind", drain=True).awaitTermination()
+    _run(spark, lambda: sinks.split_sink(
+        _capped(spark, sf), {"pass": f"{folder}/passed", "warn": f"{folder}/warned"},
+        f"{folder}/checkpoint", "kind", drain=True))
     return spark.read.parquet(f"{folder}/passed").drop("batch_id", "ts")
 
 
@@ -125,7 +145,7 @@ def _reconcile(spark, sf):
 def _daily(spark, sf):
     folder = scratch_dir(spark, "daily")
     documents = document_rows(_matched(spark, sf))
-    sinks.daily_sink(documents, f"{folder}/out", f"{folder}/checkpoint", drain=True).awaitTermination()
+    _run(spark, lambda: sinks.daily_sink(documents, f"{folder}/out", f"{folder}/checkpoint", drain=True))
     return spark.read.schema(documents.schema).json(f"{folder}/out").drop("batch_id")
 
 

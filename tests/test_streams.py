@@ -18,6 +18,14 @@ CLOSE = H + 30 * 86_400  # a last row this late closes everything before it
 CLOSE_MS = CLOSE * 1000 - 86_400_000
 
 
+@pytest.fixture(autouse=True)
+def few_state_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def feed(spark, folder, batches, schema):
     """One file and one micro-batch per list of rows, in this order."""
     folder = str(folder)

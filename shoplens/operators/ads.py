@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoplens import outcomes
 from shoplens.functions.dates import window_end_string
 from shoplens.operators.windows import floor_div, sliding_count
 
@@ -28,7 +29,7 @@ def cap_clicks(clicks: DataFrame, tie: list[str], cap: int = 100, cycle_s: int =
             Window.partitionBy("user_id", "ad_id", "_cycle").orderBy("timestamp", *tie)))
     passed = numbered.where(F.col("_nth") <= cap).drop("_nth", "_cycle")
     warnings = numbered.where(F.col("_nth") == cap + 1).select(
-        "user_id", "ad_id", F.lit(f"click over {cap}times.").alias("warning_msg"))
+        "user_id", "ad_id", F.lit(outcomes.click_warning(cap)).alias("warning_msg"))
     return CappedClicks(passed, warnings)
 
 

@@ -12,6 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoplens import outcomes
 from shoplens.operators.windows import floor_div
 
 CHUNK_S = 600
@@ -159,7 +160,7 @@ def login_fail_window(logins: DataFrame, tie: str, max_fail: int = 5, within_s:
         .agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.max("cancelled").alias("cancelled"))
         .where(~F.col("cancelled") & (F.col("n") >= max_fail))
     )
-    message = F.concat(F.lit(f"login fail in {within_s}s for "), F.col("n").cast("string"), F.lit(" times"))
+    message = F.concat(F.lit(outcomes.login_window_warning(within_s)), F.col("n").cast("string"), F.lit(" times"))
     return windows.select("user_id", F.col("anchor").alias("first_fail_time"),
                           F.col("last").alias("last_fail_time"), message.alias("warning_msg"))
 
@@ -186,7 +187,7 @@ def login_fail_consecutive(logins: DataFrame, tie: str, times: int = 3, within_s
     close = F.col("timestamp") - F.col("first_fail_time") < within_s
     return marked.where(own & (F.col("_all_failed") == 1) & close).select(
         "user_id", "first_fail_time", F.col("timestamp").alias("last_fail_time"),
-        F.lit(f"login fail {times} times").alias("warning_msg"))
+        F.lit(outcomes.login_run_warning(times)).alias("warning_msg"))
 
 
 # --- P3: order payment monitor -----------------------------------------------------------------
@@ -204,14 +205,13 @@ def order_pay_monitor(orders: DataFrame, timeout_s: int = 900) -> DataFrame:
     outcome = lambda state, side: F.struct(F.lit(state).alias("result_state"), F.lit(side).alias("is_timeout_side"))
     of_create = (
         F.when(F.col("created").isNull(), None)
-        .when((waited >= 0) & (waited < timeout_s), outcome("payed successfully", False))
-        .when(waited >= timeout_s, outcome("payed but already timeout", True))
-        .otherwise(outcome("timeout", True))
+        .when((waited >= 0) & (waited < timeout_s), outcome(outcomes.PAID, False))
+        .when(waited >= timeout_s, outcome(outcomes.PAID_LATE, True))
+        .otherwise(outcome(outcomes.TIMEOUT, True))
     )
     orphan = F.col("paid").isNotNull() & (F.col("created").isNull() | (waited < 0))
-    of_pay = F.when(orphan, outcome("payed but not found created log", True))
-    outcomes = F.array_compact(F.array(of_create, of_pay))
-    return pairs.select("order_id", F.inline(outcomes))
+    of_pay = F.when(orphan, outcome(outcomes.NO_CREATE, True))
+    return pairs.select("order_id", F.inline(F.array_compact(F.array(of_create, of_pay))))
 
 
 # --- P4, P5: create followed by pay ------------------------------------------------------------
@@ -240,6 +240,6 @@ def order_pay_pattern(orders: DataFrame, within_s: int = 300, slice_s: int = 360
     creates = _repeat(rows.withColumn("_paid", paid).where(own & (F.col("creates") > 0)), "creates")
     limit = ((F.col("timestamp") + within_s) * 1000).cast("string")
     return OrderPattern(
-        creates.where("_paid").select("order_id", F.lit("payId").alias("result_state")),
-        creates.where("NOT _paid").select("order_id", F.concat(F.lit("timeout"), limit).alias("result_state")),
+        creates.where("_paid").select("order_id", F.lit(outcomes.PAIRED).alias("result_state")),
+        creates.where("NOT _paid").select("order_id", F.concat(F.lit(outcomes.TIMEOUT), limit).alias("result_state")),
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens import outcomes
 from shoplens.functions.filters import has_transaction
 from shoplens.streaming.windows import kept
 
@@ -64,14 +65,14 @@ def order_pay_monitor(orders: DataFrame, timeout_s: int = 900) -> DataFrame:
         AND pay_ts <= create_ts + INTERVAL {int(timeout_s)} SECONDS""")
     waited = F.col("pay_time") - F.col("create_time")
     state = (
-        F.when(waited < timeout_s, "payed successfully")
-        .when(waited == timeout_s, "payed but already timeout")
-        .when(F.col("create_ts").isNull(), "payed but not found created log")
-        .otherwise("timeout")
+        F.when(waited < timeout_s, outcomes.PAID)
+        .when(waited == timeout_s, outcomes.PAID_LATE)
+        .when(F.col("create_ts").isNull(), outcomes.NO_CREATE)
+        .otherwise(outcomes.TIMEOUT)
     )
     return creates.join(pays, on, "full_outer").select(
         F.coalesce("order_id", "paid_id").alias("order_id"), state.alias("result_state"),
-        (state != "payed successfully").alias("is_timeout_side"))
+        (state != outcomes.PAID).alias("is_timeout_side"))
 
 
 def order_pay_pattern(orders: DataFrame, within_s: int = 300) -> DataFrame:
@@ -81,6 +82,6 @@ def order_pay_pattern(orders: DataFrame, within_s: int = 300) -> DataFrame:
         AND pay_ts < create_ts + INTERVAL {int(within_s)} SECONDS""")
     limit = ((F.col("create_time") + within_s) * 1000).cast("string")
     late = F.col("pay_ts").isNull()
-    state = F.when(late, F.concat(F.lit("timeout"), limit)).otherwise("payId")
+    state = F.when(late, F.concat(F.lit(outcomes.TIMEOUT), limit)).otherwise(outcomes.PAIRED)
     return creates.join(pays, on, "left_outer").select(
         "order_id", state.alias("result_state"), late.alias("is_timeout_side"))

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from shoplens import outcomes
+
 DAY_MS = 86_400_000
 
 
@@ -78,7 +80,7 @@ def cap_clicks(clicks: DataFrame, tie: list[str], cap: int = 100, rolling: bool
 
 def click_warnings(capped: DataFrame, cap: int = 100) -> DataFrame:
     return capped.where("kind = 'warn'").select(
-        "user_id", "ad_id", F.lit(f"click over {cap}times.").alias("warning_msg"))
+        "user_id", "ad_id", F.lit(outcomes.click_warning(cap)).alias("warning_msg"))
 
 
 WARNING = "user_id BIGINT, first_fail_time BIGINT, last_fail_time BIGINT, warning_msg STRING"
@@ -102,7 +104,7 @@ class LoginFailTimer(StatefulProcessor):
         anchor, n, last = window
         if n < self.max_fail:
             return []
-        return [FailWarning(user, anchor, last, f"login fail in {self.within_s}s for {n} times")]
+        return [FailWarning(user, anchor, last, f"{outcomes.login_window_warning(self.within_s)}{n} times")]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         stored = self.window.get() if self.window.exists() else None
@@ -149,7 +151,7 @@ class OrderPayMonitor(StatefulProcessor):
 
     @staticmethod
     def _expired(paid: bool) -> tuple[str, bool]:
-        return ("payed but not found created log" if paid else "timeout", True)
+        return (outcomes.NO_CREATE if paid else outcomes.TIMEOUT, True)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         stored = self.waiting.get() if self.waiting.exists() else None
@@ -160,7 +162,7 @@ class OrderPayMonitor(StatefulProcessor):
                 waiting = None
             if kind == "create":
                 if waiting is not None and waiting[0]:
-                    results.append(("payed successfully", False))
+                    results.append((outcomes.PAID, False))
                     waiting = None
                 else:
                     waiting = (False, at + self.timeout_s)
@@ -169,7 +171,7 @@ class OrderPayMonitor(StatefulProcessor):
                     waiting = (True, at)
                 else:
                     late = at >= waiting[1]
-                    results.append(("payed but already timeout" if late else "payed successfully", late))
+                    results.append((outcomes.PAID_LATE if late else outcomes.PAID, late))
                     waiting = None
         if stored is not None and stored != waiting:
             self.handle.deleteTimer(stored[1] * 1000)
@@ -276,7 +278,7 @@ class LoginFailPattern(InEventTimeOrder):
         if len(run) >= self.times:
             run = run[-self.times:]
             if at - run[0][0] < self.within_s:
-                found = [(run[0][0], at, f"login fail {self.times} times")]
+                found = [(run[0][0], at, outcomes.login_run_warning(self.times))]
         return run[-(self.times - 1):], found
 
     def expire(self, partial, watermark_ms):
@@ -311,12 +313,12 @@ class OrderPayPattern(InEventTimeOrder):
         at, is_pay = row
         partial, found = self.expire(partial, at * 1000)
         if is_pay:
-            return [], found + [("payId", False)] * len(partial)
+            return [], found + [(outcomes.PAIRED, False)] * len(partial)
         return [*partial, (at,)], found
 
     def expire(self, partial, watermark_ms):
         ends = [(create[0] + self.within_s) * 1000 for create in partial]
-        found = [(f"timeout{end}", True) for end in ends if end <= watermark_ms]
+        found = [(f"{outcomes.TIMEOUT}{end}", True) for end in ends if end <= watermark_ms]
         return [c for c, end in zip(partial, ends) if end > watermark_ms], found
 
     def deadlines(self, partial):

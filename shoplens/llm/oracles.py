@@ -14,7 +14,7 @@ WITH words AS (
 ), twice AS (
   SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1
 ), repeated AS (
-  SELECT doc_id, count(DISTINCT at) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS at FROM twice) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT word_no) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS word_no FROM twice) GROUP BY doc_id
 ), lines AS (
   SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM words
 ), full_lines AS (

@@ -12,7 +12,7 @@ of what is handed to the executors.
 
 A key is a line without the white space around it, A-Z in lower case.  Empty keys
 are never dropped.  ``keep_first`` spares the first occurrence (smallest id, then
-hash of the text, then line); without it a frequent key loses all its lines.
+hash of the document, then line); without it a frequent key loses all its lines.
 
 Defined results: a null or empty text is one empty line; rows that agree in id and
 text count as so many documents and get the same result; null ids are allowed.
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import binaries, keep, own_columns, pieces, row_key, same_key, text_bytes
+from shoplens.llm.common import KEY, binaries, keep, own_columns, pieces, row_key, text_bytes
 
 MAX_BITS = 1 << 29  # of each filter: 64 MB
 SEGMENT_BYTES = 1 << 16  # merged one segment of each filter at a time
@@ -146,9 +146,9 @@ def suspects(spark: SparkSession, docs: DataFrame, bits: int | None = None) -> D
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i).take(at) for i in range(3)), pa.array([keys[i] for i in hit], pa.binary()),
                  pa.array([lines[i] for i in hit], pa.list_(pa.int32()))],
-                names=["_id", "_hash", "_size", "key", "lines"])
+                names=[*KEY, "doc_id", "key", "lines"])
 
-    keyed = docs.select(*row_key(), text_bytes().alias("raw"))
+    keyed = docs.select(*row_key(), "doc_id", text_bytes().alias("raw"))
     schema = keyed.drop("raw").schema.add("key", "binary").add("lines", T.ArrayType(T.IntegerType()))
     return keyed.mapInArrow(ask, schema)
 
@@ -157,16 +157,16 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, min_documents: int = MIN
                   keep_first: bool = False, bits: int | None = None) -> DataFrame:
     """Line numbers that go, per document that loses any."""
     found = keep(spark, suspects(spark, docs, bits), "suspects")
-    place = F.struct("_id", "_hash", F.array_min("lines").alias("line"))
-    frequent = (
-        found.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-        .where(F.col("n") >= min_documents).select("key", "first"))
-    hits = found.join(frequent, "key")  # a hot key's rows stay splittable: the other side has one row
+    place = F.struct("doc_id", *KEY, F.array_min("lines").alias("line"))
+    counted = found.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    # written first: a join of two read tables is one whose hot keys Spark splits
+    frequent = keep(spark, counted.where(F.col("n") >= min_documents).select("key", "first"), "frequent")
+    hits = found.join(frequent, "key")
     lines = F.col("lines")
     if keep_first:
-        is_first = F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("_hash") == F.col("first._hash"))
+        is_first = (F.col("_k1") == F.col("first._k1")) & (F.col("_k2") == F.col("first._k2"))
         lines = F.when(is_first, F.filter("lines", lambda x: x != F.col("first.line"))).otherwise(lines)
-    return hits.groupBy("_id", "_hash", "_size").agg(
+    return hits.groupBy(*KEY).agg(
         F.array_distinct(F.flatten(F.collect_list(lines))).alias("gone"))
 
 
@@ -176,7 +176,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, min_documents: int = MIN_D
     gone = dropped_lines(spark, docs, min_documents, keep_first, bits)
     inputs = own_columns(docs, ADDED)
     keyed = docs.select(*row_key(), F.struct(*inputs).alias("_row"))
-    joined = keyed.join(gone, same_key(keyed, gone), "left").select("_row", "gone")
+    joined = keyed.join(gone, KEY, "left").select("_row", "gone")
     names = [f.name for f in keyed.schema["_row"].dataType.fields]
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

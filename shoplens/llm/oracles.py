@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-_SPACE = r"[\x20\x09-\x0D]"
-
 QUALITY_RULES = r"""
 WITH words AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -48,6 +46,33 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(frequent.k)::BIGINT AS n_dropp
        sha256(coalesce(string_agg(CASE WHEN frequent.k IS NULL THEN line END, chr(10) ORDER BY i), '')) AS kept_sha256
 FROM keyed LEFT JOIN frequent USING (k) GROUP BY doc_id"""
 
+DECONTAMINATION = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+), item_words AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS span
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)
+), doc_windows AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS span
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM doc_words, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+), hits AS (
+  SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, span)
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT word_no)::BIGINT AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS word_no FROM hits) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
+
 
 def sql() -> dict[str, str]:
-    return {"op3_quality_rules": QUALITY_RULES, "op4_line_dedup": LINE_DEDUP}
+    return {"op3_quality_rules": QUALITY_RULES, "op4_line_dedup": LINE_DEDUP, "op6_decontamination": DECONTAMINATION}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import linededup, packing, quality
+import corpus_pipeline
+from shoplens.llm import decontam, linededup, minhash, packing, quality
 from shoplens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,14 @@ def _line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(text, 256).alias("kept_sha256"))
 
 
+def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.duplicate_classes(spark, table(spark, sf_dir, "documents"))
+
+
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
@@ -32,5 +41,8 @@ def queries() -> dict[str, Query]:
     return {
         "op3_quality_rules": _quality_rules,
         "op4_line_dedup": _line_dedup,
+        "op5_minhash_near_dedup": _near_dedup,
+        "op6_decontamination": _decontamination,
         "op7_best_fit_packing": _packing,
+        "pipeline": corpus_pipeline.run,
     }

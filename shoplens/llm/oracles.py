@@ -2,6 +2,20 @@
 
 from __future__ import annotations
 
+from shoplens.llm.licenses import TEMPLATES, bigrams_of
+
+WARC = """
+WITH rows AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), groups AS (
+  SELECT *, sha256(payload) AS digest, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY sha256(payload)) END AS first
+  FROM rows
+)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM groups"""
+
 QUALITY_RULES = r"""
 WITH words AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -73,6 +87,54 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
 
+CHAT_FORMATTING = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), escaped AS (
+  SELECT *, length(text) + 4 * (length(text) - length(replace(text, '&', '')))
+            + 3 * (length(text) - length(regexp_replace(text, '[<>\[]', '', 'g'))) AS coded,
+         length(role) + 4 * (length(role) - length(replace(role, '&', '')))
+            + 3 * (length(role) - length(regexp_replace(role, '[<>\[]', '', 'g'))) AS coded_role,
+         lag(role) OVER w IS DISTINCT FROM role OR row_number() OVER w = 1 AS opens
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(coded + CASE WHEN NOT opens THEN 3 WHEN role = 'system' THEN 15 WHEN role = 'user' THEN 13
+                WHEN role = 'assistant' THEN 7 ELSE 14 + coded_role END))::BIGINT AS formatted_chars,
+       count(*) FILTER (opens)::BIGINT AS n_blocks
+FROM escaped GROUP BY conv_id"""
+
+
+def _license_scan() -> str:
+    templates = ", ".join(f"('{name}', {sorted(bigrams_of(text))}::VARCHAR[])" for name, text in TEMPLATES)
+    return rf"""
+WITH templates(name, bigrams) AS (VALUES {templates}), split_lines AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), units AS (
+  SELECT doc_id, unnest(ls) AS unit, generate_subscripts(ls, 1) - 1 AS line FROM split_lines
+  UNION ALL SELECT doc_id, t, -1 FROM split_lines WHERE len(ls) > 1
+), words AS (
+  SELECT doc_id, line, regexp_extract_all(lower(unit), '[a-z0-9]+') AS ws FROM units
+), pairs AS (
+  SELECT doc_id, line, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS bg
+  FROM words WHERE len(ws) > 1
+), scored AS (
+  SELECT doc_id, line, name, 2.0::DOUBLE * len(list_intersect(pairs.bg, bigrams)) / (len(pairs.bg) + len(bigrams)) AS dice
+  FROM pairs, templates
+), best AS (
+  SELECT * FROM scored WHERE dice >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, name) = 1
+)
+SELECT d.doc_id, count(line)::BIGINT AS n_matches,
+       coalesce(string_agg(DISTINCT name, ',' ORDER BY name), '') AS licenses,
+       coalesce(string_agg(line || ':' || name, ',' ORDER BY line), '') AS places, coalesce(max(dice), 0) AS best_dice
+FROM documents d LEFT JOIN best ON best.doc_id = d.doc_id GROUP BY d.doc_id"""
+
 
 def sql() -> dict[str, str]:
-    return {"op3_quality_rules": QUALITY_RULES, "op4_line_dedup": LINE_DEDUP, "op6_decontamination": DECONTAMINATION}
+    return {"op1_warc_index_merge": WARC, "op3_quality_rules": QUALITY_RULES, "op4_line_dedup": LINE_DEDUP, "op6_decontamination": DECONTAMINATION,
+            "op8_license_scan": _license_scan(), "op10_chat_formatting": CHAT_FORMATTING}

@@ -8,12 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shoplens.llm import decontam, linededup, minhash, packing, quality
+from shoplens.llm import chat, decontam, licenses, linededup, minhash, packing, quality, secrets, tokencount, warc
 from shoplens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture_histories(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return tokencount.recounted(docs, tokencount.sample_edits(docs))
+
+
 def _quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
@@ -37,12 +47,29 @@ def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
 
+def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(spark, table(spark, sf_dir, "documents"))
+
+
+def _chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(spark, table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_warc_index_merge": _warc,
+        "op2_token_counts": _token_counts,
         "op3_quality_rules": _quality_rules,
         "op4_line_dedup": _line_dedup,
         "op5_minhash_near_dedup": _near_dedup,
         "op6_decontamination": _decontamination,
         "op7_best_fit_packing": _packing,
+        "op8_license_scan": _license_scan,
+        "op9_secret_scan": _secret_scan,
+        "op10_chat_formatting": _chat_formatting,
         "pipeline": corpus_pipeline.run,
     }

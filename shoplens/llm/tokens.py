@@ -40,6 +40,10 @@ class Encoder:
             return self._bpe.encode(text, allowed_special="all")
         return self._bpe.encode_ordinary(text)
 
+    def count(self, text: str) -> int:
+        """Tokens of ordinary text."""
+        return len(self._bpe.encode_ordinary(text))
+
     def packed(self, text: str) -> bytes:
         """The ids as unsigned 32-bit numbers, low byte first."""
         return array("I", self.ids(text)).tobytes()

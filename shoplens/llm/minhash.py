@@ -5,7 +5,7 @@
    at similarity 0.8 misses all bands with a probability below 1e-7.
 3. In a bucket every node is compared with one leader, not with all others.  Texts are
    compared exactly, as multisets of shingles.  Links give classes; buckets whose
-   nodes are in several classes get one more leader, from the largest class there.
+   nodes are in several classes get one more leader, from the smallest-named class.
 4. Pairs of such open buckets that are in different classes were not all compared.
    Their nodes go to an exact index: shingles are ordered from rare to frequent, and
    two similar texts must share one of the first fifth of each, at places that still
@@ -104,35 +104,41 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, class) for every node with a link; the class is the smallest node joined to it."""
+    digest = [F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))]
     edges = keep(spark, links.select("a", "b").where("a <> b").distinct(), "links")
+    known = edges.agg(*digest).first()
     while True:
         # large star: neighbours above a node go to the smallest around it
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = both.join(least, "a").where("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: a node and its neighbours below go to the smallest of them
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        lowest = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(lowest.select("a", "m"))
-        following = keep(spark, small.where("a <> b").distinct(), "links")
-        digest = [F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))]
-        settled = edges.agg(*digest).first() == following.agg(*digest).first()
-        edges = following
-        if settled:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("class")).union(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("class"))).distinct()
+        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(lowest.select("a", "m"))
+        edges = keep(spark, small.where("a <> b").distinct(), "links")
+        before, known = known, edges.agg(*digest).first()
+        if before == known:
+            named = edges.select(F.col("a").alias("node"), F.col("b").alias("class"))
+            return named.union(edges.select("b", "b")).distinct()
+
+
+def _labels(spark: SparkSession, links: DataFrame) -> DataFrame:
+    """(node, class) with classes that are parts of the components: the smallest node within four links downwards."""
+    down = links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other"))
+    label = keep(spark, down.groupBy("node").agg(F.min("other").alias("class")), "labels")
+    for _ in range(2):
+        below = label.select(F.col("node").alias("class"), F.col("class").alias("lower"))
+        label = label.join(below, "class", "left").select("node", F.coalesce("lower", "class").alias("class"))
+    return keep(spark, label, "labels")
 
 
 def _open(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold several classes, with the class of each node and its size."""
-    sizes = classes.groupBy("class").agg(F.count("*").alias("size"))
-    named = buckets.select("band", "node", "w").join(classes.join(sizes, "class"), "node", "left").select(
-        "band", "node", "w", F.coalesce("class", "node").alias("class"),
-        F.coalesce("size", F.lit(1).cast("long")).alias("size"))
+    """Rows of the buckets that hold several classes, and of each bucket one node of its smallest class."""
+    named = buckets.select("band", "node", "w").join(classes, "node", "left").select(
+        "band", "node", "w", F.coalesce("class", "node").alias("class"))
     mixed = named.groupBy("band").agg(
-        F.max(F.struct("size", "class", "node", "w")).alias("top"),
-        (F.min("class") != F.max("class")).alias("several")).where("several").select("band", "top")
+        F.min(F.struct("class", F.xxhash64("band", "node"), "node", "w")).alias("top"),
+        F.max("class").alias("last")).where("top.class <> last").select("band", "top")
     return named.join(mixed, "band")
 
 
@@ -211,18 +217,13 @@ def node_classes(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataF
     led = buckets.where(F.expr("node <> leader.node AND " + _fits("w", "leader.w")))
     first = led.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct()
     links = keep(spark, verified(first, texts), "verified")
-    classes = keep(spark, components(spark, links), "classes")
-
-    opened = _open(buckets, classes)
-    led = opened.where(F.expr("class <> top.class AND " + _fits("w", "top.w")))
-    second = led.select(F.col("top.node").alias("a"), F.col("node").alias("b")).distinct()
-    linked = classes.select(F.col("class").alias("a"), F.col("node").alias("b"))
-    links = linked.union(verified(second.join(first, ["a", "b"], "left_anti"), texts))
-    classes = keep(spark, components(spark, links), "classes")
-
-    rest = _remaining(spark, _open(buckets, classes), texts)
-    linked = classes.select(F.col("class").alias("a"), F.col("node").alias("b"))
-    return keep(spark, components(spark, linked.union(verified(rest, texts))), "classes")
+
+    led = _open(buckets, _labels(spark, links)).where(F.expr("class <> top.class AND " + _fits("w", "top.w")))
+    second = led.select(F.least("top.node", "node").alias("a"), F.greatest("top.node", "node").alias("b")).distinct()
+    links = keep(spark, links.union(verified(second.join(first, ["a", "b"], "left_anti"), texts)), "verified")
+
+    rest = _remaining(spark, _open(buckets, _labels(spark, links)), texts)
+    return keep(spark, components(spark, links.union(verified(rest, texts))), "classes")
 
 
 def _grouped(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -58,16 +58,17 @@ def running_count(df: DataFrame, keys: list[str], order: str, out: str = "count"
 
 
 def max_before(df: DataFrame, value: str, order: str, out: str,
-               bits: int = RANGE_BITS) -> DataFrame:
-    """Largest ``value`` among all rows earlier in ``order``; null for the first row."""
+               bits: int = RANGE_BITS, keys: list[str] | None = None) -> DataFrame:
+    """Largest ``value`` among all rows (of the key) earlier in ``order``; null for the first row."""
+    by = [*(keys or []), "_coarse", "_range"]
     ranged = _in_ranges(df, order, bits)
-    tops = ranged.groupBy("_coarse", "_range").agg(F.max(value).alias("_top"))
-    carry = _carry(tops, [], "_top", F.max)
-    earlier = Window.partitionBy("_coarse", "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    tops = ranged.groupBy(*by).agg(F.max(value).alias("_top"))
+    carry = _carry(tops, keys or [], "_top", F.max)
+    earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local: Column = F.max(value).over(earlier)
     return (
         ranged.withColumn("_local", local)
-        .join(carry, ["_coarse", "_range"])
+        .join(carry, by)
         .withColumn(out, F.greatest("_local", "_base", "_inner"))
         .drop("_range", "_coarse", "_local", "_base", "_inner")
     )

@@ -193,25 +193,42 @@ def login_fail_consecutive(logins: DataFrame, tie: str, times: int = 3, within_s
 # --- P3: order payment monitor -----------------------------------------------------------------
 
 
-def order_pay_monitor(orders: DataFrame, timeout_s: int = 900) -> DataFrame:
-    """One outcome per created order, and one per pay that no create precedes.
+def order_pay_monitor(orders: DataFrame, timeout_s: int = 900, slice_s: int = 3600) -> DataFrame:
+    """The outcomes of every order, for any number of creates and pays.
 
-    The earliest create and pay of an order decide.  Both come from one
-    aggregation, combined on the map side.
+    A create waits for the next row of its order: a pay before the deadline is a
+    success, one at the deadline is late, another create starts the waiting anew; later
+    rows, or none, find it timed out.  A pay that no create waits for has none.  Rows of
+    one second go create before pay; pays of one second without a create are one outcome.
+
+    Rows are counted per order and second first.  Each row is also copied to the slices
+    of time within reach, so an order with very many rows is worked on by many tasks.
     """
-    at = lambda kind: F.min(F.when(F.col("event_type") == kind, F.col("timestamp")))
-    pairs = orders.groupBy("order_id").agg(at("create").alias("created"), at("pay").alias("paid"))
-    waited = F.col("paid") - F.col("created")
-    outcome = lambda state, side: F.struct(F.lit(state).alias("result_state"), F.lit(side).alias("is_timeout_side"))
+    kind = F.col("event_type")
+    seconds = orders.where(kind.isin("create", "pay")).groupBy("order_id", "timestamp").agg(
+        F.count_if(kind == "create").alias("creates"), F.count_if(kind == "pay").alias("pays"))
+    reach = F.sequence(floor_div(F.col("timestamp") - timeout_s, slice_s), floor_div(F.col("timestamp") + timeout_s, slice_s))
+    rows = seconds.withColumn("_slice", F.explode(reach)).repartition("order_id", "_slice")
+    along = Window.partitionBy("order_id", "_slice").orderBy("timestamp")
+    side = F.struct("timestamp", "creates", "pays")
+    seen = rows.withColumn("_before", F.lag(side).over(along)).withColumn("_after", F.lead(side).over(along))
+    own = seen.where(F.col("_slice") == floor_div("timestamp", slice_s))
+
+    outcome = lambda state, late: F.struct(F.lit(state).alias("result_state"), F.lit(late).alias("is_timeout_side"))
+    wait = F.col("_after.timestamp") - F.col("timestamp")
     of_create = (
-        F.when(F.col("created").isNull(), None)
-        .when((waited >= 0) & (waited < timeout_s), outcome(outcomes.PAID, False))
-        .when(waited >= timeout_s, outcome(outcomes.PAID_LATE, True))
-        .otherwise(outcome(outcomes.TIMEOUT, True))
+        F.when(F.col("creates") == 0, None)
+        .when(F.col("pays") > 0, outcome(outcomes.PAID, False))
+        .when(wait.isNull() | (wait > timeout_s), outcome(outcomes.TIMEOUT, True))
+        .when(F.col("_after.creates") > 0, None)
+        .when(wait < timeout_s, outcome(outcomes.PAID, False))
+        .otherwise(outcome(outcomes.PAID_LATE, True))
     )
-    orphan = F.col("paid").isNotNull() & (F.col("created").isNull() | (waited < 0))
-    of_pay = F.when(orphan, outcome(outcomes.NO_CREATE, True))
-    return pairs.select("order_id", F.inline(F.array_compact(F.array(of_create, of_pay))))
+    waiting = (F.col("_before.creates") > 0) & (F.col("_before.pays") == 0) & (
+        F.col("timestamp") - F.col("_before.timestamp") <= timeout_s)
+    taken = F.when((F.col("creates") > 0) | F.coalesce(waiting, F.lit(False)), 1).otherwise(0)
+    of_pay = F.when(F.col("pays") > taken, outcome(outcomes.NO_CREATE, True))
+    return own.select("order_id", F.inline(F.array_compact(F.array(of_create, of_pay))))
 
 
 # --- P4, P5: create followed by pay ------------------------------------------------------------

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.filters import has_transaction
+from shoplens.operators.ordered import max_before, running_count
 from shoplens.operators.windows import floor_div
 
 # width of the time slices that split one transaction id over many tasks
 SLICE_S = 60
+# rows of one transaction and second are numbered in so many bits; ranges of running values span 64 seconds
+ORDER_BITS = 24
+RANGE_BITS = ORDER_BITS + 6
 
 
 class Reconciled(NamedTuple):
@@ -52,28 +56,60 @@ def pay_receipt_interval_join(pays: DataFrame, receipts: DataFrame,
         "tx_id", "order_id", "event_type", "order_time", "pay_channel", "receipt_time")
 
 
-def _without_partner(df: DataFrame, partners: DataFrame, low: int, high: int) -> DataFrame:
-    """Rows of ``df`` with no partner whose time lies in [time + low, time + high]."""
-    other = _spread(partners.where(_joinable()), high, -low).select(
-        F.col("tx_id").alias("_tx"), F.col("_slice").alias("_other_slice"), F.col("timestamp").alias("_time"))
-    rows = _sliced(df.where(_joinable()))
-    gap = F.col("_time") - F.col("timestamp")
-    same = (F.col("tx_id") == F.col("_tx")) & (F.col("_slice") == F.col("_other_slice"))
-    alone = rows.join(other, same & gap.between(low, high), "left_anti").drop("_slice")
-    # rows without an id cannot match; they skip the join, where they would share one task
-    return alone.unionByName(df.where(~_joinable()))
+def _chained(pays: DataFrame, receipts: DataFrame, before_s: int, after_s: int) -> DataFrame:
+    """Rows of both sides in one table with their neighbours along the transaction, and whether these are linked."""
+    pay, rec = F.struct("order_id", "event_type", "timestamp"), F.struct("pay_channel", "timestamp")
+    kind_of = lambda df, column: df.select(column.alias("c")).schema["c"].dataType
+    none = F.lit(None)
+    rows = pays.select("tx_id", "timestamp", F.lit(False).alias("_receipt"), pay.alias("_pay"),
+                       none.cast(kind_of(receipts, rec)).alias("_rec")).unionByName(
+        receipts.select("tx_id", "timestamp", F.lit(True).alias("_receipt"),
+                        none.cast(kind_of(pays, pay)).alias("_pay"), rec.alias("_rec")))
+    # a unique order along a transaction: the second, then the number within it
+    within = F.row_number().over(Window.partitionBy("tx_id", "timestamp").orderBy("_receipt", "_pay", "_rec"))
+    rows = rows.withColumn("_order", F.shiftleft(F.col("timestamp").cast("bigint"), ORDER_BITS) + within)
+
+    reach = max(before_s, after_s)
+    along = Window.partitionBy("tx_id", "_slice").orderBy("_order")
+    gap = lambda first, second: F.col(f"{second}.at") - F.col(f"{first}.at")
+    link = lambda first, second: F.coalesce(
+        (F.col(f"{first}.receipt") != F.col(f"{second}.receipt"))
+        & (gap(first, second) <= F.when(F.col(f"{second}.receipt"), after_s).otherwise(before_s)), F.lit(False))
+    me = F.struct(F.col("timestamp").alias("at"), F.col("_receipt").alias("receipt"), "_pay", "_rec")
+    near = _spread(rows, reach, reach).withColumn("_me", me)
+    near = near.withColumn("_prev", F.lag("_me").over(along)).withColumn("_next", F.lead("_me").over(along))
+    own = near.where(F.col("_slice") == floor_div("timestamp", SLICE_S)).drop("_slice")
+    return own.withColumn("_linked", link("_prev", "_me")).withColumn("_more", link("_me", "_next")).drop("_me", "_next")
 
 
 def pay_receipt_match(pays: DataFrame, receipts: DataFrame,
                       before_s: int = 3, after_s: int = 5) -> Reconciled:
-    """Matched pairs, pays left waiting and receipts left waiting.
+    """Pays and receipts matched one to one, and those of either side left waiting.
 
-    A transaction id is expected once per side; should it repeat, every pair
-    inside the interval is reported.
+    Along the rows of a transaction (pays before receipts in one second), a row closes a
+    pair with the one before it if that is of the other side, waits, and is close enough:
+    a receipt up to ``after_s`` after its pay, a pay up to ``before_s`` after its receipt.
+    Rows so linked form chains that pair up two by two, so every row is used once.  Rows
+    without an id do not take part and are left over.
+
+    Neighbours are found within slices of time, and places in a chain by running values
+    over ranges, so the rows of one transaction are spread over tasks.
     """
     paid = pays.where(has_transaction())
+    rows = _chained(paid.where(_joinable()), receipts.where(_joinable()), before_s, after_s)
+    placed = running_count(rows, ["tx_id"], "_order", "_place", RANGE_BITS)
+    placed = placed.withColumn("_start", F.when(~F.col("_linked"), F.col("_place")))
+    placed = max_before(placed, "_start", "_order", "_earlier", RANGE_BITS, ["tx_id"])
+    odd = (F.col("_place") - F.coalesce("_start", "_earlier")) % 2 == 1
+    pay, rec = F.coalesce("_pay", "_prev._pay"), F.coalesce("_rec", "_prev._rec")
+    matched = placed.where(odd).select(
+        "tx_id", pay["order_id"].alias("order_id"), pay["event_type"].alias("event_type"),
+        pay["timestamp"].alias("order_time"), rec["pay_channel"].alias("pay_channel"), rec["timestamp"].alias("receipt_time"))
+    alone = placed.where(~odd & ~F.col("_more"))
+    pays_left = alone.where("NOT _receipt").select("_pay.order_id", "_pay.event_type", "tx_id", "timestamp")
+    receipts_left = alone.where("_receipt").select("tx_id", "_rec.pay_channel", "timestamp")
     return Reconciled(
-        pay_receipt_interval_join(paid, receipts, before_s, after_s),
-        _without_partner(paid, receipts, -before_s, after_s),
-        _without_partner(receipts, paid, -after_s, before_s),
+        matched,
+        pays_left.unionByName(paid.where(~_joinable()).select(*pays_left.columns)),
+        receipts_left.unionByName(receipts.where(~_joinable()).select(*receipts_left.columns)),
     )

@@ -21,9 +21,9 @@ VIEWS = {
                {_E.format('ts')} as timestamp,
                case when event_type in ('view','click') then 'GET' else 'POST' end as method,
                case when {_K}%10=0 then '/static/app.css' else p.url end as url, event_id
-        from events join pages p on p.page_id = event_id%50""",
+        from events join pages p on p.page_id = event_id % (select count(*) from pages)""",
     "delayed_access_log": """
-        select *, (timestamp + case when event_id%10=3 then 900 else 0 end)*1000000 + event_id%1000000 as arrival
+        select *, (timestamp + case when event_id%10=3 then 900 else 0 end)*2147483648 + event_id as arrival
         from access_log""",
     "marketing": f"""
         select user_id,
@@ -147,6 +147,47 @@ DOCUMENTS = """select tx_id as "txId", order_id as "orderId", event_type as "eve
 
 _MS = "select event_id, cast(floor(epoch(ts)) as bigint)*1000 + event_id%1000 as ms from events"
 
+# A create and the row of its order right after it decide; rows of one second are ordered create, pay.
+_P3 = """
+    neighbours as (
+        select *, lag(event_type) over w as before_type, lag(timestamp) over w as before,
+               lead(event_type) over w as after_type, lead(timestamp) over w as after
+        from order_event where event_type in ('create', 'pay')
+        window w as (partition by order_id order by timestamp, event_type)),
+    decided as (
+        select order_id, case when after_type = 'pay' and after < timestamp + 900 then 'payed successfully'
+                              when after_type = 'pay' and after = timestamp + 900 then 'payed but already timeout'
+                              else 'timeout' end as result_state,
+               not coalesce(after_type = 'pay' and after < timestamp + 900, false) as is_timeout_side,
+               case when after_type = 'pay' and after <= timestamp + 900 then after else timestamp + 900 end as decided_at
+        from neighbours
+        where event_type = 'create' and not coalesce(after_type = 'create' and after <= timestamp + 900, false)
+        union all
+        select distinct order_id, 'payed but not found created log', true, timestamp from neighbours
+        where event_type = 'pay' and not coalesce(before_type = 'create' and timestamp <= before + 900, false))"""
+
+# Along the rows of a transaction, neighbours of different kinds within the interval are chained;
+# every second row of a chain closes a pair with the one before it.
+_J1 = """
+    select tx_id, order_id, event_type, order_time, pay_channel, receipt_time from (
+        select tx_id, coalesce(order_id, before.order_id) as order_id, coalesce(event_type, before.event_type) as event_type,
+               coalesce(order_time, before.order_time) as order_time, coalesce(pay_channel, before.pay_channel) as pay_channel,
+               coalesce(receipt_time, before.receipt_time) as receipt_time,
+               row_number() over (partition by tx_id, chain order by place) as nth
+        from (select *, sum(case when linked then 0 else 1 end) over (partition by tx_id order by place) as chain
+              from (select *, lag(r) over w as before, row_number() over w as place,
+                           coalesce((is_receipt and not lag(is_receipt) over w and at - lag(at) over w <= 5)
+                                 or (not is_receipt and lag(is_receipt) over w and at - lag(at) over w <= 3), false) as linked
+                    from (select *, struct_pack(order_id := order_id, event_type := event_type, order_time := order_time,
+                                                pay_channel := pay_channel, receipt_time := receipt_time) as r
+                          from (select tx_id, false as is_receipt, timestamp as at, order_id, event_type,
+                                       timestamp as order_time, null::varchar as pay_channel, null::bigint as receipt_time
+                                from order_event where tx_id <> ''
+                                union all
+                                select tx_id, true, timestamp, null, null, null, pay_channel, timestamp from receipt) rows) u
+                    window w as (partition by tx_id order by at, is_receipt, order_id, pay_channel)) l) c) p
+    where nth % 2 = 0"""
+
 
 def sql() -> dict[str, str]:
     ub, log, ads, orders = ["user_behavior"], ["access_log"], ["ad_click"], ["order_event"]
@@ -250,19 +291,7 @@ def sql() -> dict[str, str]:
                          lag(login_state, 2) over w as s2
                   from login window w as (partition by user_id order by timestamp, seq)) l
             where login_state='fail' and s1='fail' and s2='fail' and timestamp - first < 5"""),
-        "order_pay_monitor": over(orders, """
-            select order_id, case when paid < created + 900 then 'payed successfully'
-                                  when paid is not null then 'payed but already timeout'
-                                  else 'timeout' end as result_state,
-                   not coalesce(paid < created + 900, false) as is_timeout_side
-            from (select c.order_id, c.timestamp as created, p.timestamp as paid
-                  from order_event c left join order_event p on p.order_id = c.order_id and p.event_type = 'pay'
-                       and p.timestamp >= c.timestamp
-                  where c.event_type = 'create') x
-            union all
-            select order_id, 'payed but not found created log', true from order_event p
-            where event_type = 'pay' and not exists (select 1 from order_event c where c.order_id = p.order_id
-                  and c.event_type = 'create' and c.timestamp <= p.timestamp)"""),
+        "order_pay_monitor": over(orders, "select order_id, result_state, is_timeout_side from decided", _P3),
         "order_pay_matched": over(orders, """
             select order_id, 'payId' as result_state from order_event c
             where event_type='create' and exists (select 1 from order_event p where p.order_id = c.order_id
@@ -272,7 +301,7 @@ def sql() -> dict[str, str]:
             where event_type='create' and not exists (select 1 from order_event p where p.order_id = c.order_id
                   and p.event_type='pay' and p.timestamp >= c.timestamp and p.timestamp < c.timestamp + 300)"""),
         # joins
-        "pay_receipt_matched": over(both, pairs, _TX),
+        "pay_receipt_matched": over(both, _J1),
         "pay_receipt_interval_join": over(both, pairs, _TX),
         "unmatched_pays": over(both, "select order_id, event_type, tx_id, timestamp from pays p "
                                      "where not exists (select 1 from pairs m where m.tx_id = p.tx_id)", _TX),
@@ -353,7 +382,10 @@ def stream_sql() -> dict[str, str]:
                   from login window w as (partition by user_id order by timestamp, seq)) l
             where login_state='fail' and s1='fail' and s2='fail' and timestamp - first < 5
               and timestamp*1000 <= {mark('login', 3000)}"""),
-        "stream_order_pay_monitor": over(orders, f"""
+        "stream_order_pay_monitor": over(
+            orders, "select order_id, result_state, is_timeout_side from decided "
+                    f"where decided_at * 1000 <= {mark('order_event')}", _P3),
+        "stream_order_pay_monitor_join": over(orders, f"""
             select order_id, case when waited >= 0 and waited < 900 then 'payed successfully'
                         when waited = 900 then 'payed but already timeout' else 'timeout' end as result_state,
                    not coalesce(waited >= 0 and waited < 900, false) as is_timeout_side
@@ -377,15 +409,14 @@ def stream_sql() -> dict[str, str]:
         "stream_reconcile": over(both, f"""
             select 'matched' as outcome, tx_id, order_id, event_type, order_time, pay_channel, receipt_time from pairs
             union all
-            select 'unmatched-pay', tx_id, order_id, event_type, timestamp, null, 0 from pays p
+            select 'unmatched-pay', tx_id, order_id, event_type, timestamp, null, null from pays p
             where not exists (select 1 from pairs m where m.tx_id = p.tx_id) and (timestamp + 5)*1000 < {both_mark}
             union all
-            select 'unmatched-receipt', tx_id, 0, null, 0, pay_channel, timestamp from receipt r
+            select 'unmatched-receipt', tx_id, null, null, null, pay_channel, timestamp from receipt r
             where not exists (select 1 from pairs m where m.tx_id = r.tx_id)
               and (timestamp + 3)*1000 < {both_mark}""", _TX),
     }
-    for name in ("stream_order_pay_monitor", "stream_order_pay_pattern"):
-        result[name + "_join"] = result[name]
+    result["stream_order_pay_pattern_join"] = result["stream_order_pay_pattern"]
     for name, count, label in [("pv_tumbling", "count(*)", "pv"), ("pv_salted", "count(*)", "pv"),
                                ("uv_exact", "count(distinct user_id)", "uv")]:
         result["stream_" + name] = over(

@@ -31,12 +31,15 @@ def _upsert(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return sinks.upsert_sink(stream, path, checkpoint, drain=True)
 
 
+STATE_PARTITIONS = "spark.shoplens.statePartitions"
+
+
 @contextmanager
 def _state_partitions(spark: SparkSession) -> Iterator[None]:
-    """No more state partitions than cores; a query keeps the number it was started with."""
+    """State partitions of a new query, 8 unless the session says otherwise; a checkpoint keeps its number for ever."""
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), max(spark.sparkContext.defaultParallelism, 1))))
+    spark.conf.set(key, spark.conf.get(STATE_PARTITIONS, "8"))
     try:
         yield
     finally:
@@ -138,8 +141,7 @@ def _matched(spark, sf):
 
 
 def _reconcile(spark, sf):
-    rows = _drain(spark, joins.reconcile(_orders(spark, sf, "300 milliseconds"), _receipts(spark, sf)))
-    return rows.fillna(0, ["order_id", "order_time", "receipt_time"])
+    return _drain(spark, joins.reconcile(_orders(spark, sf, "300 milliseconds"), _receipts(spark, sf)))
 
 
 def _daily(spark, sf):

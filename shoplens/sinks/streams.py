@@ -149,12 +149,13 @@ def late_split_sink(log: DataFrame, on_time: str, late: str, state: str, checkpo
     return _start(log, checkpoint, write, "append", drain)
 
 
-def running_uv_sink(bits: DataFrame, path: str, state: str, checkpoint: str, keep_ms: int = 86_400_000,
-                    drain: bool = False) -> StreamingQuery:
+def running_uv_sink(bits: DataFrame, path: str, state: str, checkpoint: str, delay_ms: int = 200,
+                    size_ms: int = 3_600_000, drain: bool = False) -> StreamingQuery:
     """A11, A12 on a stream: the running visitor count at every new bit of a window.
 
-    Counts per window are carried along; windows more than ``keep_ms`` behind the
-    newest are dropped from the carried table, long after the watermark passed them.
+    Counts per window are carried along.  ``delay_ms`` is the watermark delay of the stream:
+    a window is dropped from the carried table once the watermark, which is at least the
+    start of the newest window less the delay, has passed its end and no row can reach it.
     """
     carried = _Carried(state, "window_end BIGINT, total BIGINT")
 
@@ -170,7 +171,7 @@ def running_uv_sink(bits: DataFrame, path: str, state: str, checkpoint: str, kee
             new = held.groupBy("window_end").agg(F.count("*").alias("total"))
             totals = before.unionByName(new).groupBy("window_end").agg(F.sum("total").alias("total"))
             newest = totals.agg(F.max("window_end")).first()[0]
-            carried.after(totals.where(F.col("window_end") >= F.lit((newest or 0) - keep_ms)), batch_id)
+            carried.after(totals.where(F.col("window_end") > F.lit((newest or 0) - size_ms - delay_ms)), batch_id)
         finally:
             held.unpersist()
     return _start(bits, checkpoint, write, "append", drain)

@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 
 def kafka_options(servers: str, topics: list[str], start: str = "latest",
                   streaming: bool = True, **extra: str) -> dict[str, str]:
-    """Options of the Kafka source; a batch read cannot start at ``latest``."""
+    """Options of the Kafka source.
+
+    A batch read ends at the newest record and so cannot start at ``latest``; it has to say where it starts.
+    """
+    if not streaming and start == "latest":
+        raise ValueError("a batch read needs a start: earliest, or offsets by topic and partition")
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
-        "startingOffsets": start if streaming else "earliest",
+        "startingOffsets": start,
     }
     options.update(extra)
     return options

@@ -51,9 +51,10 @@ def user_behavior(spark: SparkSession, sf_dir: str, streaming: bool = False) ->
 
 def access_log(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     events = load(spark, sf_dir, "events", streaming)
-    # at most fifty pages take part, so this side stays tiny at any scale
-    pages = load(spark, sf_dir, "pages").where("page_id BETWEEN 0 AND 49").select("page_id", "url")
-    joined = events.join(F.broadcast(pages), F.col("event_id") % 50 == F.col("page_id"))
+    # every page takes part: an event goes to the page at its number, modulo the pages there are
+    pages = load(spark, sf_dir, "pages").select("page_id", "url")
+    number = pages.count()  # read from the file footers
+    joined = events.join(pages, F.pmod("event_id", F.lit(max(number, 1))) == F.col("page_id"))
     return joined.select(
         F.concat(F.lit("10.0.0."), (F.col("user_id") % 256).cast("string")).alias("ip"),
         F.col("user_id").cast("string").alias("user_id"),
@@ -67,7 +68,7 @@ def access_log(spark: SparkSession, sf_dir: str, streaming: bool = False) -> Dat
 def delayed_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The access log with an ``arrival`` order in which every tenth event is 15 minutes late."""
     late = F.when(F.col("event_id") % 10 == 3, 900).otherwise(0)
-    order = (F.col("timestamp") + late) * 1_000_000 + F.col("event_id") % 1_000_000
+    order = F.shiftleft(F.col("timestamp") + late, 31) + F.col("event_id")  # unique below 2**31 events
     return access_log(spark, sf_dir).withColumn("arrival", order)
 
 

@@ -2,7 +2,9 @@
 
 One class per operator that needs state beyond windows and joins.  Spark splits
 the keys, keeps the state in its store and fires the timers; the classes hold
-the rules only.  Rows of a micro-batch are put in time order per key first.
+the rules only.  Logins and orders are held back until the watermark has passed them and
+taken in event-time order, so the result does not depend on how the input is cut into
+micro-batches; the click cap counts arrivals and orders the rows of a micro-batch only.
 
 The click cap sees many rows per key and takes them as pandas batches.  Logins
 and orders have a handful per key, where one pandas frame per key costs more
@@ -90,112 +92,6 @@ RESULT = "order_id BIGINT, result_state STRING, is_timeout_side BOOLEAN"
 Result = Row("order_id", "result_state", "is_timeout_side")
 
 
-class LoginFailTimer(StatefulProcessor):
-    """A window opened by the first failure, cancelled by a success, checked at its end."""
-
-    def __init__(self, tie: str, max_fail: int, within_s: int) -> None:
-        self.tie, self.max_fail, self.within_s = tie, max_fail, within_s
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.window = handle.getValueState("window", "anchor BIGINT, n BIGINT, last BIGINT")
-
-    def _warning(self, user: int, window: tuple[int, int, int]) -> list[Row]:
-        anchor, n, last = window
-        if n < self.max_fail:
-            return []
-        return [FailWarning(user, anchor, last, f"{outcomes.login_window_warning(self.within_s)}{n} times")]
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        stored = self.window.get() if self.window.exists() else None
-        window = stored
-        for at, _, state in sorted((r.timestamp, r[self.tie], r.login_state) for r in rows):
-            if window is not None and at > window[0] + self.within_s:
-                yield from self._warning(key[0], window)
-                window = None
-            if state != "fail":
-                window = None
-            elif window is None:
-                window = (at, 1, at)
-            else:
-                window = (window[0], window[1] + 1, at)
-        if stored is not None and (window is None or window[0] != stored[0]):
-            self.handle.deleteTimer((stored[0] + self.within_s) * 1000)
-        if window is None:
-            self.window.clear()
-        else:
-            self.window.update(window)
-            if stored is None or window[0] != stored[0]:
-                self.handle.registerTimer((window[0] + self.within_s) * 1000)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.window.exists():
-            yield from self._warning(key[0], self.window.get())
-            self.window.clear()
-
-
-def login_fail_window(logins: DataFrame, tie: str, max_fail: int = 5, within_s: int = 5) -> DataFrame:
-    return logins.groupBy("user_id").transformWithState(
-        LoginFailTimer(tie, max_fail, within_s), WARNING, "append", "eventTime")
-
-
-class OrderPayMonitor(StatefulProcessor):
-    """P3 with the timer rules: a row after a pending deadline meets the expired state."""
-
-    def __init__(self, timeout_s: int) -> None:
-        self.timeout_s = timeout_s
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getValueState("waiting", "paid BOOLEAN, deadline BIGINT")
-
-    @staticmethod
-    def _expired(paid: bool) -> tuple[str, bool]:
-        return (outcomes.NO_CREATE if paid else outcomes.TIMEOUT, True)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        stored = self.waiting.get() if self.waiting.exists() else None
-        waiting, results = stored, []
-        for at, kind in sorted((r.timestamp, r.event_type) for r in rows):  # create sorts before pay
-            if waiting is not None and at > waiting[1]:
-                results.append(self._expired(waiting[0]))
-                waiting = None
-            if kind == "create":
-                if waiting is not None and waiting[0]:
-                    results.append((outcomes.PAID, False))
-                    waiting = None
-                else:
-                    waiting = (False, at + self.timeout_s)
-            elif kind == "pay":
-                if waiting is None or waiting[0]:
-                    waiting = (True, at)
-                else:
-                    late = at >= waiting[1]
-                    results.append((outcomes.PAID_LATE if late else outcomes.PAID, late))
-                    waiting = None
-        if stored is not None and stored != waiting:
-            self.handle.deleteTimer(stored[1] * 1000)
-        if waiting is None:
-            self.waiting.clear()
-        elif waiting != stored:
-            self.waiting.update(waiting)
-            self.handle.registerTimer(waiting[1] * 1000)
-        for result in results:
-            yield Result(key[0], *result)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.waiting.exists():
-            paid, _ = self.waiting.get()
-            self.waiting.clear()
-            yield Result(key[0], *self._expired(paid))
-
-
-def order_pay_monitor(orders: DataFrame, timeout_s: int = 900) -> DataFrame:
-    return orders.groupBy("order_id").transformWithState(
-        OrderPayMonitor(timeout_s), RESULT,
-        "append", "eventTime")
-
-
 class InEventTimeOrder(StatefulProcessor):
     """Holds rows back until the watermark has passed them, then steps through them in order.
 
@@ -256,6 +152,90 @@ class InEventTimeOrder(StatefulProcessor):
             yield self.output(key[0], *result)
 
 
+class LoginFailTimer(InEventTimeOrder):
+    """A window opened by the first failure, cancelled by a success, checked at its end."""
+
+    row_schema = "at BIGINT, tie BIGINT, failed BOOLEAN"
+    partial_schema = "anchor BIGINT, n BIGINT, last BIGINT"
+    output = FailWarning
+
+    def __init__(self, tie: str, max_fail: int, within_s: int) -> None:
+        self.tie, self.max_fail, self.within_s = tie, max_fail, within_s
+
+    def taken(self, row: Row) -> tuple:
+        return row.timestamp, row[self.tie], row.login_state == "fail"
+
+    def _warnings(self, windows: list[tuple]) -> list[tuple]:
+        return [(anchor, last, f"{outcomes.login_window_warning(self.within_s)}{n} times")
+                for anchor, n, last in windows if n >= self.max_fail]
+
+    def step(self, partial, row):
+        at, _, failed = row
+        found = []
+        if partial and at > partial[0][0] + self.within_s:
+            found, partial = self._warnings(partial), []
+        if not failed:
+            return [], found
+        anchor, n, _ = partial[0] if partial else (at, 0, at)
+        return [(anchor, n + 1, at)], found
+
+    def expire(self, partial, watermark_ms):
+        if partial and (partial[0][0] + self.within_s) * 1000 <= watermark_ms:
+            return [], self._warnings(partial)
+        return partial, []
+
+    def deadlines(self, partial):
+        return {(anchor + self.within_s) * 1000 for anchor, _, _ in partial}
+
+
+def login_fail_window(logins: DataFrame, tie: str, max_fail: int = 5, within_s: int = 5) -> DataFrame:
+    return logins.groupBy("user_id").transformWithState(
+        LoginFailTimer(tie, max_fail, within_s), WARNING, "append", "eventTime")
+
+
+class OrderPayMonitor(InEventTimeOrder):
+    """What waits is a create with its deadline, or a pay for the rest of its second."""
+
+    row_schema = "at BIGINT, kind STRING"
+    partial_schema = "paid BOOLEAN, deadline BIGINT"
+    output = Result
+
+    def __init__(self, timeout_s: int) -> None:
+        self.timeout_s = timeout_s
+
+    def taken(self, row: Row) -> tuple:
+        return row.timestamp, row.event_type  # create sorts before pay
+
+    def _expired(self, partial: list[tuple]) -> list[tuple]:
+        return [(outcomes.NO_CREATE if paid else outcomes.TIMEOUT, True) for paid, _ in partial]
+
+    def step(self, partial, row):
+        at, kind = row
+        found = []
+        if partial and at > partial[0][1]:
+            found, partial = self._expired(partial), []
+        if kind == "create":
+            return [(False, at + self.timeout_s)], found
+        if partial and not partial[0][0]:
+            late = at == partial[0][1]
+            return [], found + [(outcomes.PAID_LATE if late else outcomes.PAID, late)]
+        return [(True, at)], found
+
+    def expire(self, partial, watermark_ms):
+        if partial and partial[0][1] * 1000 <= watermark_ms:
+            return [], self._expired(partial)
+        return partial, []
+
+    def deadlines(self, partial):
+        return {deadline * 1000 for _, deadline in partial}
+
+
+def order_pay_monitor(orders: DataFrame, timeout_s: int = 900) -> DataFrame:
+    """The rules of the batch form, each row taken once the watermark has passed it."""
+    known = orders.where(F.when(F.col("ts").isNotNull(), F.col("event_type").isin("create", "pay")))
+    return known.groupBy("order_id").transformWithState(OrderPayMonitor(timeout_s), RESULT, "append", "eventTime")
+
+
 class LoginFailPattern(InEventTimeOrder):
     """The last failures in a row, oldest first; a success empties them."""
 

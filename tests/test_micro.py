@@ -214,6 +214,40 @@ MONITORED = {
 }
 
 
+REPEATED = {
+    "c0 p10 c100 p110": ["payed successfully"] * 2,
+    "c0 p901": ["payed but not found created log", "timeout"],
+    "c0 c100 p950": ["payed successfully"],
+    "c0 c900 p901": ["payed successfully"],
+    "c0 c901 p1801": ["payed but already timeout", "timeout"],
+    "p5 p5": ["payed but not found created log"],
+    "p5 p6": ["payed but not found created log"] * 2,
+    "c0 p0 p0 p0": ["payed but not found created log", "payed successfully"],
+    "c0 p5 p5": ["payed but not found created log", "payed successfully"],
+    "c0 p5 p6": ["payed but not found created log", "payed successfully"],
+    "c0 c0": ["timeout"],
+    "c3599 p3600 c7000 c7100 p8001": ["payed but not found created log", "payed successfully", "timeout"],
+}
+
+
+@pytest.mark.parametrize("slice_s", [50, 900, 3600])
+def test_order_monitor_of_repeated_rows(spark, slice_s):
+    got = table(patterns.order_pay_monitor(orders(spark, REPEATED), slice_s=slice_s))
+    assert got == [(order, state, state != "payed successfully")
+                   for order, want in enumerate(REPEATED.values()) for state in want]
+
+
+def test_payments_are_used_once(spark):
+    pays = [(1, "pay", "t", H), (2, "pay", "t", H), (3, "pay", "u", H), (4, "pay", "u", H + 1), (5, "pay", "v", H + 2)]
+    receipts = [("t", "a", H + 1), ("t", "b", H + 1), ("u", "c", H + 2), ("v", "d", H), ("v", "e", H + 4)]
+    sides = spark.createDataFrame(pays, schemas.ORDER), spark.createDataFrame(receipts, schemas.RECEIPT)
+    got = payments.pay_receipt_match(*sides)
+    assert table(got.matched.select("order_id", "pay_channel")) == [(2, "a"), (4, "c"), (5, "d")]
+    assert table(got.unmatched_pays.select("order_id")) == [(1,), (3,)]
+    assert table(got.unmatched_receipts.select("pay_channel")) == [("b",), ("e",)]
+    assert payments.pay_receipt_interval_join(*sides).count() == 8
+
+
 def test_order_monitor(spark):
     got = table(patterns.order_pay_monitor(orders(spark, MONITORED)))
     assert got == [(order, state, state != "payed successfully")

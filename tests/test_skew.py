@@ -85,7 +85,14 @@ def test_busy_transaction(spark):
     tx = lambda: "hot" if rng.random() < 0.6 else rng.choice([f"t{n}" for n in range(50)] + [""])
     pays = [(n, "pay", tx(), H + rng.randrange(3000)) for n in range(600)]
     receipts = [(tx(), str(n), H + rng.randrange(3000)) for n in range(600)]
-    pairs = {(p[0], r[1]) for p in pays for r in receipts if p[2] and p[2] == r[0] and -3 <= r[2] - p[3] <= 5}
+    pairs, waiting = set(), {}
+    merged = [(p[3], 0, p[0], p[2]) for p in pays] + [(r[2], 1, r[1], r[0]) for r in receipts]
+    for at, side, name, key in sorted(merged, key=lambda m: (m[0], m[1], m[2] if m[1] == 0 else 0, str(m[2]))):
+        before = waiting.pop(key, None)
+        if key and before and before[1] != side and at - before[0] <= (5 if side else 3):
+            pairs.add((before[2], name) if side else (name, before[2]))
+        else:
+            waiting[key] = at, side, name
     got = payments.pay_receipt_match(
         spark.createDataFrame(pays, schemas.ORDER), spark.createDataFrame(receipts, schemas.RECEIPT))
     assert table(got.matched.select("order_id", "pay_channel")) == sorted(pairs)

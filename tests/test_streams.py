@@ -1,6 +1,7 @@
 """Streams against the batch forms, over several micro-batches, with restarts and late rows."""
 
 import os
+import random
 import time
 
 import pytest
@@ -12,7 +13,7 @@ from shoplens.sinks.documents import document_rows
 from shoplens.sources import decode
 from shoplens.sources.lines import kafka_options, lines, multi_lines, register, with_event_time
 from shoplens.streaming import joins, processors, windows
-from tests.test_micro import CONSECUTIVE, MONITORED, PAIRED, WINDOWED, H, table
+from tests.test_micro import CONSECUTIVE, MONITORED, PAIRED, REPEATED, WINDOWED, H, table
 
 CLOSE = H + 30 * 86_400  # a last row this late closes everything before it
 CLOSE_MS = CLOSE * 1000 - 86_400_000
@@ -184,6 +185,36 @@ def test_order_monitor(spark, tmp_path, form):
                           for order, want in enumerate(MONITORED.values()) for state in want]
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("monitor", ["orders", "logins"])
+def test_any_split_gives_the_batch_result(spark, tmp_path, seed, monitor):
+    """Rows shuffled within the watermark delay, cut into micro-batches at random."""
+    rng = random.Random(seed)
+    if monitor == "orders":
+        rows = [(n % 4, rng.choice(["create", "pay"]), "", H + rng.randrange(8000)) for n in range(160)]
+        schema, at, last = schemas.ORDER, 3, (999, "create", "", CLOSE)
+    else:
+        rows = [(n % 4, "ip", rng.choice(["fail", "fail", "fail", "success"]), H + rng.randrange(90), n) for n in range(160)]
+        schema, at, last = LOGIN, 3, (999, "ip", "success", CLOSE, 0)
+    rows.sort(key=lambda r: r[at] + rng.random() * 30)
+    cuts = sorted(rng.sample(range(1, len(rows)), rng.choice([0, 2, 4])))
+    batches = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)])] + [[last]]
+    stream = with_event_time(feed(spark, tmp_path / "in", batches, schema), "31 seconds")
+    batch = spark.createDataFrame(rows, schema)
+    if monitor == "orders":
+        got, want = processors.order_pay_monitor(stream), patterns.order_pay_monitor(batch)
+    else:
+        got, want = processors.login_fail_window(stream, "seq", 3), patterns.login_fail_window(batch, "seq", 3)
+    assert table(drain(spark, got, tmp_path).where(f"{got.columns[0]} < 999")) == table(want) != []
+
+
+def test_order_monitor_of_repeated_rows(spark, tmp_path):
+    stream = with_event_time(feed(spark, tmp_path / "in", order_batches(REPEATED), schemas.ORDER), "2 seconds")
+    got = drain(spark, processors.order_pay_monitor(stream), tmp_path)
+    assert table(got) == [(order, state, state != "payed successfully")
+                          for order, want in enumerate(REPEATED.values()) for state in want]
+
+
 def test_order_monitor_after_the_deadline(spark, tmp_path):
     """A pay the timer did not wait for: the create has timed out, the pay finds nothing."""
     batches = [[(1, "create", "", H), (1, "pay", "", H + 901)], [(2, "create", "", CLOSE)]]
@@ -321,5 +352,7 @@ def test_named_topics(spark, tmp_path):
 def test_kafka_options():
     assert kafka_options("host:9092", ["a", "b"]) == {
         "kafka.bootstrap.servers": "host:9092", "subscribe": "a,b", "startingOffsets": "latest"}
-    batch = kafka_options("host:9092", ["a"], streaming=False, maxOffsetsPerTrigger="10")
-    assert batch["startingOffsets"] == "earliest" and batch["maxOffsetsPerTrigger"] == "10"
+    batch = kafka_options("host:9092", ["a"], '{"a":{"0":7}}', streaming=False, maxOffsetsPerTrigger="10")
+    assert batch["startingOffsets"] == '{"a":{"0":7}}' and batch["maxOffsetsPerTrigger"] == "10"
+    with pytest.raises(ValueError):
+        kafka_options("host:9092", ["a"], streaming=False)

@@ -79,8 +79,8 @@ def shingles(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(words)
     hashes = np.zeros(n, np.uint64)
     for j in range(SHINGLE):  # shorter texts end early: words of the next text are masked out
-        part = np.zeros(n, np.uint64)
-        part[:n - j] = np.where(text[j:] == text[:n - j], words[j:], _U(0))
+        part, m = np.zeros(n, np.uint64), max(0, n - j)
+        part[:m] = np.where(text[j:] == text[:m], words[j:], _U(0))
         hashes = mix(hashes * _BASE + part + _U(j + 1))
     whole = np.ones(n, bool)
     whole[max(0, n - SHINGLE + 1):] = False

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 TRAIN_DOCUMENTS = 20_000
 MIN_RUN = 20
+BACK_OFF = 20.0  # pairs that the distribution of single characters counts for in each row
 THRESHOLD = 12.0  # natural log; a random run of 20 characters scores about 40
 
 # Kinds in their order, with pattern and least length of what counts
@@ -96,11 +97,11 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCUMENTS) -> list[float]:
     size = len(ALPHABET) + 1
 
     def logs(random: bool) -> list[float]:
-        table = []
-        for a in range(size):
-            row = [counts.get((random, 100 * a + b), 0) + 0.5 for b in range(size)]
-            table += [math.log(n / sum(row)) for n in row]
-        return table
+        """Log probabilities of the second character given the first, backed off to those of the character alone."""
+        rows = [[counts.get((random, 100 * a + b), 0) for b in range(size)] for a in range(size)]
+        single = [sum(column) + 0.5 for column in zip(*rows)]
+        total = sum(single)
+        return [math.log((n + BACK_OFF * s / total) / (sum(row) + BACK_OFF)) for row in rows for n, s in zip(row, single)]
 
     return [round(x - y, 3) for x, y in zip(logs(True), logs(False))]
 

@@ -26,6 +26,8 @@ def test_shingles_equal_brute_force():
     text, _, count = bag.shingles([t.encode() for t in texts])
     for i, t in enumerate(texts):
         assert sorted(count[text == i].tolist()) == sorted(shingled(t).values())
+    for alone in (b"a", b"a b", b"a b c d"):
+        assert [x.tolist() for x in bag.shingles([alone])[::2]] == [[0], [1]]
     text, element, _ = bag.shingles([b"a b c d e", b"x A  b.c d E y", b"a b c", b"a b c d"])
     assert len(set(element[text == 0]) & set(element[text == 1])) == 1
     assert not set(element[text == 2]) & set(element[text == 3])

@@ -8,7 +8,7 @@ import pytest
 from shoplens.llm import secrets
 from tests.llm.common import awkward, documents, empty
 
-ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 
 
 def brute(text):

@@ -58,6 +58,23 @@ def pv_per_record(behavior: DataFrame, tie: str, size: str = "1 hour",
     return counted.select(constant_key("pv", "url"), "window_end", tie, "count")
 
 
+def uv_so_far(behavior: DataFrame, size: str = "1 hour") -> DataFrame:
+    """Distinct visitors of all windows up to each, exactly: every visitor counts in the first window that saw them."""
+    views = behavior.where(is_page_view()).select(tumbling_end(size), "user_id")
+    new = views.groupBy("user_id").agg(F.min("window_end").alias("window_end")).groupBy("window_end").agg(
+        F.count("*").alias("_new"))
+    ends = views.select("window_end").distinct().join(new, "window_end", "left")
+    running = F.sum(F.coalesce("_new", F.lit(0))).over(Window.orderBy("window_end"))  # one row per window
+    return ends.select(constant_key("uv", "url"), "window_end", running.alias("count"))
+
+
+def within(estimates: DataFrame, exact: DataFrame, error: float = 0.05) -> DataFrame:
+    """Exact counts, and whether the estimate of the same window lies within a relative ``error``."""
+    near = F.abs(F.col("estimate") - F.col("count")) <= error * F.col("count")
+    return exact.join(estimates.withColumnRenamed("count", "estimate"), ["url", "window_end"]).select(
+        "url", "window_end", "count", near.alias("close"))
+
+
 def uv_hll(behavior: DataFrame, size: str = "1 hour", per_window: bool = False,
            lg_k: int = 12) -> DataFrame:
     """Approximate visitors, over all windows so far or per window.

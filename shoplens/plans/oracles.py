@@ -90,6 +90,31 @@ _PAGE = "method='GET' and not regexp_matches(url, '\\.(css|js|png|ico)$')"
 _HOT_PAGES = "hot as (" + sliding("access_log", "url", 600, 5, _PAGE) + ")"
 
 
+# Deliveries of the registered streams: a column cut into three equal spans.
+_SLICED = """sliced as (
+    select s.*, ({by} - low) * 3 // span as slice
+    from {source} s, (select min({by}) as low, max({by}) - min({by}) + 1 as span from {source}) ends)"""
+
+_PAGE_CHANGES = _SLICED.format(by="timestamp", source="access_log") + f""",
+parts as (
+    select url, ((timestamp // 5) - i) * 5000 + 600000 as window_end, slice, count(*) as n
+    from sliced, range(0, 120) t(i) where {_PAGE} group by url, window_end, slice),
+versions as (
+    select url, window_end, slice, cast(sum(n) over (partition by url, window_end order by slice) as bigint) as count
+    from parts)"""
+
+_LATE_SPLIT = _SLICED.format(by="arrival", source="delayed_access_log") + """,
+tops as (select slice, max(timestamp) as top from sliced group by slice),
+earlier as (select a.slice, max(b.top) as seen from tops a left join tops b on b.slice < a.slice group by a.slice)"""
+
+_FIRST_SEEN = """views as (
+    select user_id, (timestamp // 3600) * 3600000 + 3600000 as window_end from user_behavior where behavior='pv'),
+firsts as (select user_id, min(window_end) as window_end from views group by user_id)"""
+_UV_SO_FAR = """
+    select 'uv' as url, w.window_end, (select count(*) from firsts f where f.window_end <= w.window_end) as count, true as close
+    from (select distinct window_end from views) w"""
+
+
 def _ranked(key: str, order: str = "count desc") -> str:
     return f"""ranked as (
         select window_end, cast(rank as int) as rank, {key}, count
@@ -176,16 +201,16 @@ _J1 = """
                row_number() over (partition by tx_id, chain order by place) as nth
         from (select *, sum(case when linked then 0 else 1 end) over (partition by tx_id order by place) as chain
               from (select *, lag(r) over w as before, row_number() over w as place,
-                           coalesce((is_receipt and not lag(is_receipt) over w and at - lag(at) over w <= 5)
-                                 or (not is_receipt and lag(is_receipt) over w and at - lag(at) over w <= 3), false) as linked
+                           coalesce((is_receipt and not lag(is_receipt) over w and moment - lag(moment) over w <= 5)
+                                 or (not is_receipt and lag(is_receipt) over w and moment - lag(moment) over w <= 3), false) as linked
                     from (select *, struct_pack(order_id := order_id, event_type := event_type, order_time := order_time,
                                                 pay_channel := pay_channel, receipt_time := receipt_time) as r
-                          from (select tx_id, false as is_receipt, timestamp as at, order_id, event_type,
+                          from (select tx_id, false as is_receipt, timestamp as moment, order_id, event_type,
                                        timestamp as order_time, null::varchar as pay_channel, null::bigint as receipt_time
                                 from order_event where tx_id <> ''
                                 union all
                                 select tx_id, true, timestamp, null, null, null, pay_channel, timestamp from receipt) rows) u
-                    window w as (partition by tx_id order by at, is_receipt, order_id, pay_channel)) l) c) p
+                    window w as (partition by tx_id order by moment, is_receipt, order_id, pay_channel)) l) c) p
     where nth % 2 = 0"""
 
 
@@ -252,6 +277,9 @@ def sql() -> dict[str, str]:
         "pv_tumbling": over(ub, _hours("count(*)", "pv")),
         "pv_salted": over(ub, _hours("count(*)", "pv")),
         "uv_exact": over(ub, _hours("count(distinct user_id)", "uv")),
+        # a sketch's own value is no SQL: what is checked is that it lies within 5 % of the exact count
+        "uv_hll": over(ub, _UV_SO_FAR, _FIRST_SEEN),
+        "uv_hll_per_window": over(ub, f"select *, true as close from ({_hours('count(distinct user_id)', 'uv')}) h"),
         "uv_bloom_running": over(ub, """
             select 'uv' as url, window_end, row_number() over (partition by window_end order by first) as count
             from (select (timestamp // 3600)*3600000 + 3600000 as window_end, user_id, min(event_id) as first
@@ -348,8 +376,17 @@ def stream_sql() -> dict[str, str]:
                                        _HOT_ITEMS + ",\n" + _ranked("item_id")),
         "stream_hot_page_counts": over(log, hot_pages, _HOT_PAGES),
         "stream_hot_pages_top_n": over(log, "select * from ranked", _HOT_PAGES + ",\n" + _ranked("url")),
-        "stream_hot_page_changes": over(log, "select *, true as added from hot", _HOT_PAGES),
-        "stream_late_split": over(log, f"select * from access_log where {_PAGE}"),
+        "stream_hot_page_changes": over(log, """
+            select url, window_end, true as added, count from versions
+            union all
+            select url, window_end, false, before
+            from (select *, lag(count) over (partition by url, window_end order by slice) as before from versions) v
+            where before is not null""", _PAGE_CHANGES),
+        "stream_late_split": over(["delayed_access_log"], f"""
+            select ip, user_id, timestamp, method, url, event_id, arrival,
+                   coalesce((timestamp - timestamp % 5 + 660) * 1000 - 1 <= (seen - 1) * 1000, false) as late
+            from sliced join earlier using (slice) where {_PAGE}""", _LATE_SPLIT),
+        "stream_uv_hll": sql()["uv_hll"],
         "stream_uv_bloom_running": sql()["uv_bloom_running"],
         "stream_ad_clicks_capped": sql()["ad_clicks_capped"],
         "stream_ad_blacklist": sql()["ad_blacklist"],

@@ -208,8 +208,9 @@ def queries() -> dict[str, Query]:
         "uv_exact": lambda s, d: visits.uv_exact(ub(s, d)),
         "uv_bloom_running": lambda s, d: visits.uv_bloom_running(ub(s, d), "event_id"),
         "pv_per_record": lambda s, d: visits.pv_per_record(ub(s, d), "event_id"),
-        "uv_hll": lambda s, d: visits.uv_hll(ub(s, d)),
-        "uv_hll_per_window": lambda s, d: visits.uv_hll(ub(s, d), per_window=True),
+        "uv_hll": lambda s, d: visits.within(visits.uv_hll(ub(s, d)), visits.uv_so_far(ub(s, d))),
+        "uv_hll_per_window": lambda s, d: visits.within(
+            visits.uv_hll(ub(s, d), per_window=True), visits.uv_exact(ub(s, d))),
         "marketing_total": lambda s, d: marketing.marketing_total(mk(s, d)),
         "marketing_by_channel": lambda s, d: marketing.marketing_by_channel(mk(s, d)),
         "ad_clicks_capped": lambda s, d: _capped(s, d).passed,

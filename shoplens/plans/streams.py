@@ -1,7 +1,9 @@
 """Registered streaming queries.
 
-Each reads its tables as a stream, drains it through the operator into files in
-a scratch folder, and returns what the sink holds.
+The events of a query arrive in ``SLICES`` deliveries, cut by time (by arrival for the
+late split).  After each delivery the query is started from its checkpoint and drained,
+so results build up over several micro-batches and restarts; what the sink then holds
+is returned.  Windows still open at the last watermark stay open.
 """
 
 from __future__ import annotations
@@ -10,9 +12,10 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shoplens.operators import hot
+from shoplens.operators import hot, visits
 from shoplens.plans.scratch import scratch_dir
 from shoplens.sinks import streams as sinks
 from shoplens.sinks.documents import document_rows
@@ -46,138 +49,167 @@ def _state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def _run(spark: SparkSession, start: Callable[[], StreamingQuery]) -> None:
-    with _state_partitions(spark):
-        query = start()
-    query.awaitTermination()
+SLICES = 3
 
 
-def _drain(spark: SparkSession, stream: DataFrame, sink: Sink = _append, keep: bool = False) -> DataFrame:
-    folder = scratch_dir(spark, "stream")
-    _run(spark, lambda: sink(stream, f"{folder}/out", f"{folder}/checkpoint"))
-    result = spark.read.parquet(f"{folder}/out")
-    return result if keep else result.drop("batch_id")
+class Feed:
+    """Event tables delivered as files, a slice of their common time span after the other."""
 
+    def __init__(self, spark: SparkSession, *tables_: DataFrame, order: str = "timestamp") -> None:
+        self.spark, self.tables, self.order = spark, tables_, order
+        self.folders = [scratch_dir(spark, "feed") for _ in tables_]
+        for rows, folder in zip(tables_, self.folders):  # a stream starts from a folder that is there
+            rows.limit(0).write.parquet(folder)
+        ends = [t.agg(F.min(order), F.max(order)).first() for t in tables_]
+        self.first = min((low for low, _ in ends if low is not None), default=0)
+        self.span = max((high for _, high in ends if high is not None), default=0) - self.first + 1
 
-def _behavior(spark, sf):
-    return with_event_time(tables.user_behavior(spark, sf, streaming=True))
+    def streams(self) -> list[DataFrame]:
+        return [self.spark.readStream.schema(t.schema).parquet(f) for t, f in zip(self.tables, self.folders)]
 
+    def deliver(self, number: int) -> None:
+        at = F.expr(f"(`{self.order}` - {self.first}) * {SLICES} DIV {self.span}")
+        for rows, folder in zip(self.tables, self.folders):
+            rows.where(at == number).write.mode("append").parquet(folder)
 
-def _marketing(spark, sf):
-    return with_event_time(tables.marketing(spark, sf, streaming=True))
 
+def _run(feed: Feed, start: Callable[[], StreamingQuery]) -> None:
+    for number in range(SLICES):
+        feed.deliver(number)
+        with _state_partitions(feed.spark):
+            query = start()
+        query.awaitTermination()
 
-def _log(spark, sf, delay="61 seconds"):
-    return with_event_time(tables.access_log(spark, sf, streaming=True), delay)
+
+def _drain(feed: Feed, stream: DataFrame, sink: Sink = _append, keep: bool = False) -> DataFrame:
+    spark = feed.spark
+    folder = scratch_dir(spark, "stream")
+    _run(feed, lambda: sink(stream, f"{folder}/out", f"{folder}/checkpoint"))
+    result = spark.read.parquet(f"{folder}/out")
+    return result if keep else result.drop("batch_id")
 
 
-def _clicks(spark, sf):
-    return with_event_time(tables.ad_click(spark, sf, streaming=True))
+def _timed(delay: str, *tables_: DataFrame, order: str = "timestamp") -> tuple[Feed, list[DataFrame]]:
+    """A feed and its streams, with event time and watermark."""
+    feed = Feed(tables_[0].sparkSession, *tables_, order=order)
+    return feed, [with_event_time(stream, delay) for stream in feed.streams()]
 
 
-def _orders(spark, sf, delay="200 milliseconds"):
-    return with_event_time(tables.order_event(spark, sf, streaming=True), delay)
+def _query(source: Callable, operator: Callable[..., DataFrame], delay: str = "200 milliseconds",
+           sink: Sink = _append, keep: bool = False) -> Callable[[SparkSession, str], DataFrame]:
+    """A registered query: the operator on the stream of one event table."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        feed, (stream,) = _timed(delay, source(spark, sf))
+        return _drain(feed, operator(stream), sink, keep)
+    return run
 
 
-def _receipts(spark, sf):
-    return with_event_time(tables.receipt(spark, sf, streaming=True), "300 milliseconds")
+def _top_n(spark, sf):
+    return _query(tables.user_behavior, windows.hot_item_counts,
+                  sink=lambda df, path, cp: sinks.top_n_sink(df, "item_id", path, cp, drain=True))(spark, sf)
 
 
-def _logins(spark, sf):
-    """The login rows, written out first: their numbering needs the whole table."""
-    folder = scratch_dir(spark, "login")
-    rows = tables.login(spark, sf)
-    rows.write.parquet(folder)
-    return with_event_time(spark.readStream.schema(rows.schema).parquet(folder), "3 seconds")
+LOG_DELAY = "61 seconds"  # out-of-orderness and allowed lateness
 
 
-def _hot_items_top_n(spark, sf):
-    counts = windows.hot_item_counts(_behavior(spark, sf))
-    return _drain(spark, counts, lambda df, path, cp: sinks.top_n_sink(df, "item_id", path, cp, drain=True))
+def _page_versions(spark, sf):
+    return _query(tables.access_log, windows.hot_page_counts, LOG_DELAY, _upsert, keep=True)(spark, sf)
 
 
 def _hot_pages(spark, sf):
-    versions = _drain(spark, windows.hot_page_counts(_log(spark, sf)), _upsert, keep=True)
-    return sinks.latest(versions, ["window_end", "url"])
+    return sinks.latest(_page_versions(spark, sf), ["window_end", "url"])
 
 
 def _hot_page_changes(spark, sf):
-    versions = _drain(spark, windows.hot_page_counts(_log(spark, sf)), _upsert, keep=True)
-    return sinks.changes(versions, ["window_end", "url"]).drop("batch_id")
+    return sinks.changes(_page_versions(spark, sf), ["window_end", "url"]).drop("batch_id")
 
 
 def _running_uv(spark, sf):
     state = scratch_dir(spark, "uv")
-    return _drain(spark, windows.new_bits(_behavior(spark, sf)),
-                  lambda df, path, cp: sinks.running_uv_sink(df, path, state, cp, drain=True))
+    return _query(tables.user_behavior, windows.new_bits,
+                  sink=lambda df, path, cp: sinks.running_uv_sink(df, path, state, cp, drain=True))(spark, sf)
 
 
 def _uv_hll(spark, sf):
-    versions = _drain(spark, windows.uv_sketches(_behavior(spark, sf)), _upsert, keep=True)
-    return sinks.uv_from_sketches(sinks.latest(versions, ["window_end"]))
+    """The estimates beside the exact counts so far, and whether they are within 5 %."""
+    versions = _query(tables.user_behavior, windows.uv_sketches, sink=_upsert, keep=True)(spark, sf)
+    estimates = sinks.uv_from_sketches(sinks.latest(versions, ["window_end"]))
+    return visits.within(estimates, visits.uv_so_far(tables.user_behavior(spark, sf)))
 
 
 def _late(spark, sf):
     folder = scratch_dir(spark, "late")
-    _run(spark, lambda: sinks.late_split_sink(
-        _log(spark, sf), f"{folder}/on_time", f"{folder}/late", f"{folder}/state", f"{folder}/checkpoint", drain=True))
-    return spark.read.parquet(f"{folder}/on_time").drop("batch_id", "ts")
+    feed, (stream,) = _timed(LOG_DELAY, tables.delayed_access_log(spark, sf), order="arrival")
+    _run(feed, lambda: sinks.late_split_sink(
+        stream, f"{folder}/on_time", f"{folder}/late", f"{folder}/state", f"{folder}/checkpoint", drain=True))
+    sides = [spark.read.parquet(f"{folder}/{side}").drop("batch_id", "ts") for side in ("on_time", "late")]
+    return sides[0].withColumn("late", F.lit(False)).unionByName(sides[1].withColumn("late", F.lit(True)))
 
 
-def _capped(spark, sf):
-    return processors.cap_clicks(_clicks(spark, sf), tables.CLICK_TIE)
+def _capped(stream):
+    return processors.cap_clicks(stream, tables.CLICK_TIE)
 
 
 def _capped_split(spark, sf):
     folder = scratch_dir(spark, "capped")
-    _run(spark, lambda: sinks.split_sink(
-        _capped(spark, sf), {"pass": f"{folder}/passed", "warn": f"{folder}/warned"},
+    feed, (clicks,) = _timed("200 milliseconds", tables.ad_click(spark, sf))
+    _run(feed, lambda: sinks.split_sink(
+        _capped(clicks), {"pass": f"{folder}/passed", "warn": f"{folder}/warned"},
         f"{folder}/checkpoint", "kind", drain=True))
     return spark.read.parquet(f"{folder}/passed").drop("batch_id", "ts")
 
 
+def _both(spark, sf):
+    return _timed("300 milliseconds", tables.order_event(spark, sf), tables.receipt(spark, sf))
+
+
 def _matched(spark, sf):
-    return joins.interval_join(_orders(spark, sf, "300 milliseconds"), _receipts(spark, sf))
+    feed, (orders, receipts) = _both(spark, sf)
+    return _drain(feed, joins.interval_join(orders, receipts))
 
 
 def _reconcile(spark, sf):
-    return _drain(spark, joins.reconcile(_orders(spark, sf, "300 milliseconds"), _receipts(spark, sf)))
+    feed, (orders, receipts) = _both(spark, sf)
+    return _drain(feed, joins.reconcile(orders, receipts))
 
 
 def _daily(spark, sf):
     folder = scratch_dir(spark, "daily")
-    documents = document_rows(_matched(spark, sf))
-    _run(spark, lambda: sinks.daily_sink(documents, f"{folder}/out", f"{folder}/checkpoint", drain=True))
+    feed, (orders, receipts) = _both(spark, sf)
+    documents = document_rows(joins.interval_join(orders, receipts))
+    _run(feed, lambda: sinks.daily_sink(documents, f"{folder}/out", f"{folder}/checkpoint", drain=True))
     return spark.read.schema(documents.schema).json(f"{folder}/out").drop("batch_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    ub, mk, clicks, orders = tables.user_behavior, tables.marketing, tables.ad_click, tables.order_event
     return {
-        "stream_hot_item_counts": lambda s, d: _drain(s, windows.hot_item_counts(_behavior(s, d))),
-        "stream_hot_items_top_n": _hot_items_top_n,
+        "stream_hot_item_counts": _query(ub, windows.hot_item_counts),
+        "stream_hot_items_top_n": _top_n,
         "stream_hot_page_counts": _hot_pages,
         "stream_hot_pages_top_n": lambda s, d: hot.top_n(_hot_pages(s, d), "url"),
         "stream_hot_page_changes": _hot_page_changes,
         "stream_late_split": _late,
-        "stream_pv_tumbling": lambda s, d: _drain(s, windows.pv_tumbling(_behavior(s, d))),
-        "stream_pv_salted": lambda s, d: _drain(s, windows.pv_salted(_behavior(s, d))),
-        "stream_uv_exact": lambda s, d: _drain(s, windows.uv_exact(_behavior(s, d))),
+        "stream_pv_tumbling": _query(ub, windows.pv_tumbling),
+        "stream_pv_salted": _query(ub, windows.pv_salted),
+        "stream_uv_exact": _query(ub, windows.uv_exact),
         "stream_uv_bloom_running": _running_uv,
         "stream_uv_hll": _uv_hll,
-        "stream_marketing_total": lambda s, d: _drain(s, windows.marketing_total(_marketing(s, d))),
-        "stream_marketing_by_channel": lambda s, d: _drain(s, windows.marketing_by_channel(_marketing(s, d))),
+        "stream_marketing_total": _query(mk, windows.marketing_total),
+        "stream_marketing_by_channel": _query(mk, windows.marketing_by_channel),
         "stream_ad_clicks_capped": _capped_split,
-        "stream_ad_blacklist": lambda s, d: _drain(s, processors.click_warnings(_capped(s, d))),
-        "stream_ad_count_by_province": lambda s, d: _drain(
-            s, windows.ad_count_by_province(_capped(s, d).where("kind = 'pass'"))),
-        "stream_login_fail_window": lambda s, d: _drain(s, processors.login_fail_window(_logins(s, d), "seq")),
-        "stream_login_fail_consecutive": lambda s, d: _drain(
-            s, processors.login_fail_consecutive(_logins(s, d), "seq")),
-        "stream_order_pay_monitor": lambda s, d: _drain(s, processors.order_pay_monitor(_orders(s, d))),
-        "stream_order_pay_pattern": lambda s, d: _drain(s, processors.order_pay_pattern(_orders(s, d))),
-        "stream_order_pay_monitor_join": lambda s, d: _drain(s, joins.order_pay_monitor(_orders(s, d))),
-        "stream_order_pay_pattern_join": lambda s, d: _drain(s, joins.order_pay_pattern(_orders(s, d))),
+        "stream_ad_blacklist": _query(clicks, lambda s: processors.click_warnings(_capped(s))),
+        "stream_ad_count_by_province": _query(
+            clicks, lambda s: windows.ad_count_by_province(_capped(s).where("kind = 'pass'"))),
+        "stream_login_fail_window": _query(
+            tables.login, lambda s: processors.login_fail_window(s, "seq"), "3 seconds"),
+        "stream_login_fail_consecutive": _query(
+            tables.login, lambda s: processors.login_fail_consecutive(s, "seq"), "3 seconds"),
+        "stream_order_pay_monitor": _query(orders, processors.order_pay_monitor),
+        "stream_order_pay_pattern": _query(orders, processors.order_pay_pattern),
+        "stream_order_pay_monitor_join": _query(orders, joins.order_pay_monitor),
+        "stream_order_pay_pattern_join": _query(orders, joins.order_pay_pattern),
         "stream_reconcile": _reconcile,
-        "stream_interval_join": lambda s, d: _drain(s, _matched(s, d)),
+        "stream_interval_join": _matched,
         "stream_daily_documents": _daily,
     }

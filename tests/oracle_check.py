@@ -36,7 +36,7 @@ def difference(ours: pd.DataFrame, theirs: pd.DataFrame) -> str | None:
     except AssertionError as error:
         return str(error)[:400]
     kinds = [(c, ours[c].dtype, theirs[c].dtype) for c in ours.columns
-             if ours[c].dtype.kind != theirs[c].dtype.kind and ours[c].notna().any()]
+             if ours[c].dtype.kind != theirs[c].dtype.kind and ours[c].notna().all()]
     return f"types {kinds}" if kinds and len(ours) else None
 
 

@@ -5,7 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as contract
-from shoplens.plans import oracles, queries
+from shoplens.operators import visits
+from shoplens.plans import oracles, queries, streams
+from shoplens.sources import tables
 from tests.oracle_check import connect, difference
 
 SF = os.environ.get("SHOPLENS_TEST_DIR", "/root/testdata/sf0.001")
@@ -18,9 +20,9 @@ def db():
 
 
 def test_contract_is_consistent():
-    known = set(contract.queries())
-    assert set(contract.oracle_sql()) <= known
-    assert known - set(contract.oracle_sql()) == {"uv_hll", "uv_hll_per_window", "stream_uv_hll"}
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    own = {**queries.queries(), **streams.queries()}
+    assert set(own) == {*oracles.sql(), *oracles.stream_sql()}
 
 
 @needs_tables
@@ -30,9 +32,23 @@ def test_query_equals_its_sql(spark, db, name):
     assert difference(ours, db.sql(oracles.sql()[name]).df()) is None
 
 
+# one of each kind: append, changes, late rows, state over deliveries, state machines, joins, sketches
+STREAMS = ["stream_hot_items_top_n", "stream_hot_page_changes", "stream_late_split", "stream_uv_bloom_running",
+           "stream_ad_blacklist", "stream_order_pay_monitor", "stream_login_fail_window", "stream_reconcile", "stream_uv_hll"]
+
+
+@needs_tables
+@pytest.mark.parametrize("name", STREAMS)
+def test_stream_query_equals_its_sql(spark, db, name):
+    ours = streams.queries()[name](spark, SF).toPandas()
+    assert difference(ours, db.sql(oracles.stream_sql()[name]).df()) is None
+    if name in ("stream_hot_page_changes", "stream_late_split"):
+        assert set(ours["added" if "changes" in name else "late"]) == {True, False}
+
+
 @needs_tables
 def test_sketches_are_close_to_the_exact_counts(spark, db):
-    sketched = queries.queries()["uv_hll_per_window"](spark, SF).toPandas().set_index("window_end")["count"]
+    sketched = visits.uv_hll(tables.user_behavior(spark, SF), per_window=True).toPandas().set_index("window_end")["count"]
     exact = queries.queries()["uv_exact"](spark, SF).toPandas().set_index("window_end")["count"]
     assert ((sketched - exact).abs() / exact).max() < 0.05
 

@@ -10,7 +10,7 @@ _LONGEST = 20
 
 
 def bit_offset(column: str, bits: int = 29, seed: int = 61) -> Column:
-    """Polynomial hash of the id's decimal text, cut to ``bits`` bits.
+    """Polynomial hash of the id's decimal text, cut to ``bits`` bits; a longer text than a BIGINT's is an error.
 
     Every power of the seed is reduced first, so each term stays below
     2**(bits + 7) and their sum inside a BIGINT; the result equals the unreduced
@@ -24,4 +24,5 @@ def bit_offset(column: str, bits: int = 29, seed: int = 61) -> Column:
     for place in range(_LONGEST):
         digit = F.ascii(F.substring(backwards, place + 1, 1)).cast("bigint")
         total = total + digit * F.lit(pow(seed, place, size)).cast("bigint")
-    return F.pmod(total, F.lit(size).cast("bigint"))
+    whole = F.when(F.length(backwards) > _LONGEST, F.raise_error(F.lit("the id is longer than a BIGINT"))).otherwise(total)
+    return F.pmod(whole.cast("bigint"), F.lit(size).cast("bigint"))

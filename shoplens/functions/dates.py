@@ -26,7 +26,10 @@ def start_of_day(ms: Column | str) -> Column:
 
 def end_of_day(ms: Column | str) -> Column:
     """23:59:59 of the day."""
-    return _floor(ms, "day") + F.lit(86_399_000)
+    ms = _col(ms)
+    day = F.date_trunc("day", F.timestamp_millis(ms))
+    following = (day.cast("date") + F.expr("INTERVAL 1 DAY")).cast("timestamp")  # days of 23 or 25 hours too
+    return F.unix_millis(following) - 1000 + F.pmod(ms, F.lit(1000))
 
 
 def floor_hour(ms: Column | str) -> Column:

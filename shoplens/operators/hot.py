@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shoplens.functions.dates import window_end_string
 from shoplens.functions.filters import is_get, is_page, is_page_view
 from shoplens.operators.ordered import RANGE_BITS, max_before
-from shoplens.operators.windows import floor_to, sliding_count, to_seconds
+from shoplens.operators.windows import floor_to, sliding_count, sliding_from_panes, to_seconds
 
 
 def hot_item_counts(behavior: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
@@ -62,13 +62,27 @@ def page_views(log: DataFrame) -> DataFrame:
     return log.where(is_get() & is_page())
 
 
-def hot_page_counts(log: DataFrame, size: str = "10 minutes", slide: str = "5 seconds") -> DataFrame:
+def hot_page_counts(log: DataFrame, size: str = "10 minutes", slide: str = "5 seconds", tie: str | None = None,
+                    delay: str = "1 second", lateness: str = "1 minute", bits: int = RANGE_BITS) -> DataFrame:
     """A5: views per url and sliding window -> url, window_end, count.
 
-    Batch input is complete, so the counts already hold every correction that
-    the streaming form makes within the allowed lateness.
+    Without ``tie`` the counts hold every view.  With it, a unique arrival order, a view
+    counts only in windows that the watermark before it had not yet passed by the allowed
+    lateness, as if it had come on a stream.
     """
-    return sliding_count(page_views(log), ["url"], size, slide)
+    if tie is None:
+        return sliding_count(page_views(log), ["url"], size, slide)
+    slide_s = to_seconds(slide)
+    watermark = (F.col("_seen") - to_seconds(delay)) * 1000
+    # windows whose last millisecond, end * 1000 - 1, lies beyond the watermark less the lateness
+    open_after = F.floor((watermark - to_seconds(lateness) * 1000 + 1) / 1000)
+    first = F.coalesce(floor_to(open_after, slide_s) + slide_s, F.lit(-1 << 40))
+    seen = page_views(max_before(log, "timestamp", tie, "_seen", bits))
+    # views on time share one value, so they stay one row per pane
+    pane = floor_to("timestamp", slide_s)
+    panes = seen.groupBy("url", pane.alias("_pane"), F.greatest(first, pane + slide_s).alias("_first")).agg(
+        F.count("*").alias("_n"))
+    return sliding_from_panes(panes, ["url"], size, slide, "_first")
 
 
 class LateSplit(NamedTuple):

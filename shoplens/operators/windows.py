@@ -47,13 +47,25 @@ def sliding_count(df: DataFrame, keys: list[str], size: str, slide: str) -> Data
     the counts.  Only the result is expanded.  Steps are cut at fixed time spans,
     so one key is worked on by many tasks.
     """
+    slide_s = to_seconds(slide)
+    panes = df.groupBy(*keys, floor_to("timestamp", slide_s).alias("_pane")).agg(F.count("*").alias("_n"))
+    return sliding_from_panes(panes, keys, size, slide)
+
+
+def sliding_from_panes(panes: DataFrame, keys: list[str], size: str, slide: str, first: str | None = None) -> DataFrame:
+    """:func:`sliding_count` of rows already counted as ``_n`` per key and ``_pane`` (its first second).
+
+    A column ``first`` may name the end of the first window that these rows still reach.
+    """
     size_s, slide_s = to_seconds(size), to_seconds(slide)
     if size_s % slide_s:
         raise ValueError("the slide must divide the size")
     span = 24 * size_s
 
-    panes = df.groupBy(*keys, floor_to("timestamp", slide_s).alias("_pane")).agg(F.count("*").alias("_n"))
     first_end, last_end = F.col("_pane") + slide_s, F.col("_pane") + size_s
+    if first:
+        first_end = F.greatest(first_end, F.col(first))
+        panes = panes.where(first_end <= last_end)
     placed = panes.withColumn(
         "_span", F.explode(F.sequence(floor_div(first_end, span), floor_div(last_end, span))))
     up = F.struct(F.greatest(first_end, F.col("_span") * span).alias("at"), F.col("_n").alias("by"))

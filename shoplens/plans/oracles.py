@@ -115,6 +115,30 @@ _UV_SO_FAR = """
     from (select distinct window_end from views) w"""
 
 
+_HOT_PAGES_IN_TIME = f"""marked as (
+    select *, max(timestamp) over (order by arrival rows between unbounded preceding and 1 preceding) as seen
+    from delayed_access_log),
+hot as (
+    select url, ((timestamp // 5) - i) * 5000 + 600000 as window_end, count(*) as count
+    from marked, range(0, 120) t(i)
+    where {_PAGE} and not coalesce(((timestamp // 5) - i) * 5000 + 600000 - 1 + 60000 <= (seen - 1) * 1000, false)
+    group by url, window_end)"""
+
+_RANK_CHANGES = _SLICED.format(by="timestamp", source="user_behavior") + """,
+parts as (
+    select item_id, ((timestamp // 300) - i) * 300000 + 3600000 as window_end, slice, count(*) as n
+    from sliced, range(0, 12) t(i) where behavior='pv' group by item_id, window_end, slice),
+states as (
+    select b.window_end, b.slice, p.item_id, cast(sum(p.n) as bigint) as cnt
+    from (select distinct window_end, slice from parts) b join parts p on p.window_end = b.window_end and p.slice <= b.slice
+    group by b.window_end, b.slice, p.item_id),
+ranks as (
+    select *, cast(row_number() over (partition by window_end, slice order by cnt desc, item_id) as int) as row_num from states),
+moves as (
+    select *, lag(item_id) over w as old_item, lag(cnt) over w as old_cnt
+    from ranks where row_num <= 5 window w as (partition by window_end, row_num order by slice))"""
+
+
 def _ranked(key: str, order: str = "count desc") -> str:
     return f"""ranked as (
         select window_end, cast(rank as int) as rank, {key}, count
@@ -267,6 +291,9 @@ def sql() -> dict[str, str]:
                               _HOT_ITEMS + ",\n" + _ranked("item_id")),
         "hot_items_report": over(ub, report("item_id"), _HOT_ITEMS + ",\n" + _ranked("item_id")),
         "hot_page_counts": over(log, "select * from hot", _HOT_PAGES),
+        "hot_page_counts_in_time": over(["delayed_access_log"], "select * from hot", _HOT_PAGES_IN_TIME),
+        "hot_pages_top_n_in_time": over(["delayed_access_log"], "select * from ranked",
+                                        _HOT_PAGES_IN_TIME + ",\n" + _ranked("url")),
         "hot_pages_top_n": over(log, "select * from ranked", _HOT_PAGES + ",\n" + _ranked("url")),
         "late_page_views": over(["delayed_access_log"], f"""
             select ip, user_id, timestamp, method, url, event_id, arrival,
@@ -376,6 +403,12 @@ def stream_sql() -> dict[str, str]:
                                        _HOT_ITEMS + ",\n" + _ranked("item_id")),
         "stream_hot_page_counts": over(log, hot_pages, _HOT_PAGES),
         "stream_hot_pages_top_n": over(log, "select * from ranked", _HOT_PAGES + ",\n" + _ranked("url")),
+        "stream_hot_items_sql": over(ub, """
+            select item_id, window_end, cnt, row_num, true as added from moves
+            where (item_id, cnt) is distinct from (old_item, old_cnt)
+            union all
+            select old_item, window_end, old_cnt, row_num, false from moves
+            where old_item is not null and (item_id, cnt) is distinct from (old_item, old_cnt)""", _RANK_CHANGES),
         "stream_hot_page_changes": over(log, """
             select url, window_end, true as added, count from versions
             union all

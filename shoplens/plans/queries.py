@@ -113,6 +113,10 @@ def _hot_pages(spark, sf):
     return hot.hot_page_counts(tables.access_log(spark, sf))
 
 
+def _hot_pages_in_time(spark, sf):
+    return hot.hot_page_counts(tables.delayed_access_log(spark, sf), tie="arrival")
+
+
 def _hot_items_sql(spark, sf):
     register(with_event_time(tables.user_behavior(spark, sf)), "data_table")
     return hot.hot_items_sql(spark, "data_table")
@@ -201,6 +205,8 @@ def queries() -> dict[str, Query]:
         "hot_items_sql": _hot_items_sql,
         "hot_items_report": lambda s, d: hot.top_n_report(hot.top_n(_hot_items(s, d), "item_id"), "item_id"),
         "hot_page_counts": _hot_pages,
+        "hot_page_counts_in_time": _hot_pages_in_time,
+        "hot_pages_top_n_in_time": lambda s, d: hot.top_n(_hot_pages_in_time(s, d), "url"),
         "hot_pages_top_n": lambda s, d: hot.top_n(_hot_pages(s, d), "url"),
         "late_page_views": _late,
         "pv_tumbling": lambda s, d: visits.pv_tumbling(ub(s, d)),

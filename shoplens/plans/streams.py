@@ -113,7 +113,8 @@ LOG_DELAY = "61 seconds"  # out-of-orderness and allowed lateness
 
 
 def _page_versions(spark, sf):
-    return _query(tables.access_log, windows.hot_page_counts, LOG_DELAY, _upsert, keep=True)(spark, sf)
+    panes = _query(tables.access_log, windows.hot_page_panes, LOG_DELAY, _upsert, keep=True)(spark, sf)
+    return sinks.window_versions(panes, ["url"], "10 minutes", "5 seconds")
 
 
 def _hot_pages(spark, sf):
@@ -124,6 +125,15 @@ def _hot_page_changes(spark, sf):
     return sinks.changes(_page_versions(spark, sf), ["window_end", "url"]).drop("batch_id")
 
 
+def _rank_changes(spark, sf):
+    """A3 on a stream: the ranks of each window as a retract stream."""
+    panes = _query(tables.user_behavior, windows.hot_item_panes, sink=_upsert, keep=True)(spark, sf)
+    versions = sinks.window_versions(panes, ["item_id"], "1 hour", "5 minutes")
+    ranked = sinks.ranked_versions(versions, "item_id").withColumnRenamed("rank", "row_num")
+    return sinks.changes(ranked, ["window_end", "row_num"], skip_equal=True).select(
+        "item_id", "window_end", F.col("count").alias("cnt"), "row_num", "added")
+
+
 def _running_uv(spark, sf):
     state = scratch_dir(spark, "uv")
     return _query(tables.user_behavior, windows.new_bits,
@@ -186,6 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stream_hot_item_counts": _query(ub, windows.hot_item_counts),
         "stream_hot_items_top_n": _top_n,
+        "stream_hot_items_sql": _rank_changes,
         "stream_hot_page_counts": _hot_pages,
         "stream_hot_pages_top_n": lambda s, d: hot.top_n(_hot_pages(s, d), "url"),
         "stream_hot_page_changes": _hot_page_changes,

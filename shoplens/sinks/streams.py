@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.operators import hot
 from shoplens.operators.ordered import running_count
+from shoplens.operators.windows import sliding_from_panes
 
 
 def console_sink(stream: DataFrame, label: str, mode: str = "append") -> StreamingQuery:
@@ -85,12 +86,17 @@ def latest(versions: DataFrame, keys: list[str]) -> DataFrame:
     return newest.select(*keys, "_row.*")
 
 
-def changes(versions: DataFrame, keys: list[str]) -> DataFrame:
-    """The versions as a retract stream: ``added`` false takes a row back, true puts one in."""
+def changes(versions: DataFrame, keys: list[str], skip_equal: bool = False) -> DataFrame:
+    """The versions as a retract stream: ``added`` false takes a row back, true puts one in.
+
+    ``skip_equal`` leaves out versions that repeat the one before.
+    """
     rest = [c for c in versions.columns if c not in keys and c != "batch_id"]
     in_order = Window.partitionBy(*keys).orderBy("batch_id")
     row = F.struct(*rest)
     paired = versions.select(*keys, "batch_id", row.alias("_new"), F.lag(row).over(in_order).alias("_old"))
+    if skip_equal:
+        paired = paired.where(~F.col("_new").eqNullSafe(F.col("_old")))
     entry = lambda added, column: F.struct(F.lit(added).alias("added"), F.col(column).alias("row"))
     entries = F.array(entry(False, "_old"), entry(True, "_new"))
     return (
@@ -99,6 +105,37 @@ def changes(versions: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def window_versions(panes: DataFrame, keys: list[str], size: str, slide: str) -> DataFrame:
+    """Versions of sliding windows from versions of their panes: keys, ``window_end``, ``count``, ``batch_id``.
+
+    What a batch added to a pane is added to the pane's windows; a window has a version
+    for each batch that changed it.
+    """
+    along = Window.partitionBy(*keys, "pane").orderBy("batch_id")
+    added = panes.select(*keys, "batch_id", F.col("pane").alias("_pane"),
+                         (F.col("count") - F.coalesce(F.lag("count").over(along), F.lit(0))).alias("_n"))
+    windows = sliding_from_panes(added.where("_n <> 0"), [*keys, "batch_id"], size, slide)
+    so_far = Window.partitionBy(*keys, "window_end").orderBy("batch_id")
+    return windows.withColumn("count", F.sum("count").over(so_far))
+
+
+def ranked_versions(versions: DataFrame, id_col: str, n: int = 5) -> DataFrame:
+    """The ``n`` largest counts of each window after each batch that changed it, with ``rank`` and ``batch_id``.
+
+    A version of an id holds until its next one; in between it takes part in the ranking
+    of every batch that changed the window.
+    """
+    along = Window.partitionBy("window_end", id_col).orderBy("batch_id")
+    held = versions.withColumn("_until", F.lead("batch_id").over(along))
+    batches = versions.groupBy("window_end").agg(F.collect_set("batch_id").alias("_batches"))  # of one window
+    rows = held.join(batches, "window_end").select(
+        "window_end", id_col, "count",
+        F.explode(F.filter("_batches", lambda b: (b >= F.col("batch_id")) & F.coalesce(b < F.col("_until"), F.lit(True))))
+        .alias("batch_id"))
+    rank = F.row_number().over(Window.partitionBy("window_end", "batch_id").orderBy(F.col("count").desc(), id_col))
+    return rows.withColumn("rank", rank.cast("int")).where(F.col("rank") <= n)
+
+
 def top_n_sink(counts: DataFrame, id_col: str, path: str, checkpoint: str, n: int = 5,
                drain: bool = False) -> StreamingQuery:
     """A2 on a stream: in append mode all counts of a window close in one micro-batch, which is ranked."""

@@ -29,9 +29,13 @@ def _named(counts: DataFrame, keys: list[str], window: str = "window") -> DataFr
     return counts.select(*keys, F.unix_millis(f"{window}.end").alias("window_end"), "count")
 
 
-def sliding_count(df: DataFrame, keys: list[str], size: str, slide: str) -> DataFrame:
-    """Counts for update mode: every row goes to all its windows."""
-    return _named(df.groupBy(*keys, F.window("ts", size, slide)).count(), keys)
+def pane_count(df: DataFrame, keys: list[str], slide: str) -> DataFrame:
+    """Counts for update mode, per slide-long pane: a row is in one pane, however many windows hold it.
+
+    :func:`shoplens.sinks.streams.window_versions` makes windows of the panes behind the sink.
+    """
+    panes = df.groupBy(*keys, F.window("ts", slide)).count()
+    return panes.select(*keys, F.unix_seconds("window.start").alias("pane"), "count")
 
 
 def sliding_count_closed(df: DataFrame, keys: list[str], size: str, slide: str) -> DataFrame:
@@ -50,9 +54,14 @@ def hot_item_counts(behavior: DataFrame, size: str = "1 hour", slide: str = "5 m
     return sliding_count_closed(kept(behavior, is_page_view()), ["item_id"], size, slide)
 
 
-def hot_page_counts(log: DataFrame, size: str = "10 minutes", slide: str = "5 seconds") -> DataFrame:
+def hot_page_panes(log: DataFrame, slide: str = "5 seconds") -> DataFrame:
     """A5, update mode.  The watermark delay of ``log`` is out-of-orderness plus allowed lateness."""
-    return sliding_count(kept(log, is_get() & is_page()), ["url"], size, slide)
+    return pane_count(kept(log, is_get() & is_page()), ["url"], slide)
+
+
+def hot_item_panes(behavior: DataFrame, slide: str = "5 minutes") -> DataFrame:
+    """A3, update mode."""
+    return pane_count(kept(behavior, is_page_view()), ["item_id"], slide)
 
 
 def pv_tumbling(behavior: DataFrame, size: str = "1 hour") -> DataFrame:
@@ -106,5 +115,5 @@ def marketing_by_channel(events: DataFrame, size: str = "1 hour", slide: str = "
 
 def ad_count_by_province(passed: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
     """A19, append mode, on the rows the click cap let through."""
-    counts = _named(passed.groupBy("province", F.window("ts", size, slide)).count(), ["province"])
+    counts = sliding_count_closed(passed, ["province"], size, slide)
     return counts.select("province", window_end_string("window_end").alias("window_end"), "count")

@@ -33,7 +33,7 @@ def test_query_equals_its_sql(spark, db, name):
 
 
 # one of each kind: append, changes, late rows, state over deliveries, state machines, joins, sketches
-STREAMS = ["stream_hot_items_top_n", "stream_hot_page_changes", "stream_late_split", "stream_uv_bloom_running",
+STREAMS = ["stream_hot_items_top_n", "stream_hot_items_sql", "stream_ad_count_by_province", "stream_hot_page_changes", "stream_late_split", "stream_uv_bloom_running",
            "stream_ad_blacklist", "stream_order_pay_monitor", "stream_login_fail_window", "stream_reconcile", "stream_uv_hll"]
 
 

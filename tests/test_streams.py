@@ -136,7 +136,8 @@ def test_late_split_uses_the_batches_before(spark, tmp_path):
 def test_corrected_counts_replace_and_retract(spark, tmp_path):
     get = lambda t: ("i", "u", H + t, "GET", "/a", t)
     stream = with_event_time(feed(spark, tmp_path / "in", [[get(0)], [get(30)], [get(1)]], LOG), "61 seconds")
-    versions = drain(spark, windows.hot_page_counts(stream), tmp_path, sinks.upsert_sink, keep=True)
+    panes = drain(spark, windows.hot_page_panes(stream), tmp_path, sinks.upsert_sink, keep=True)
+    versions = sinks.window_versions(panes, ["url"], "10 minutes", "5 seconds")
     batch = spark.createDataFrame([get(0), get(30), get(1)], LOG)
     keys = ["window_end", "url"]
     assert table(sinks.latest(versions, keys).select("url", "window_end", "count")) == table(hot.hot_page_counts(batch))

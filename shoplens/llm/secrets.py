@@ -5,10 +5,10 @@ and ``+/_=-`` are scored: the log-likelihood ratio of their neighbouring charact
 under a model of random strings and one of ordinary identifiers, both first-order.
 A run at ``THRESHOLD`` or above that touches no base span is a span of kind ``random``.
 
-The models are trained on labelled samples: runs of a bounded sample of documents
-(``TRAIN_DOCUMENTS``, those with the smallest hash of their id), labelled random where a
-base span covers them and ordinary elsewhere, and as many digests of their ids, in
-base 64, labelled random.  Counts of character pairs leave Spark, nothing else.
+The models are trained on labelled samples from a bounded number of documents
+(``TRAIN_DOCUMENTS``, those with the smallest hash of their id): the values of base spans
+and digests of the ids in base 64 are labelled random, runs of 8 or more characters in
+documents without a base span ordinary.  Counts of character pairs leave Spark, nothing else.
 
 Defined results: a null or empty text has no span; offsets are code points; repeated
 rows are scanned alike; without any training rows the smoothed models are equal and
@@ -23,7 +23,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TRAIN_DOCUMENTS = 20_000
+TRAIN_DOCUMENTS = 10_000
 MIN_RUN = 20
 BACK_OFF = 20.0  # pairs that the distribution of single characters counts for in each row
 THRESHOLD = 12.0  # natural log; a random run of 20 characters scores about 40
@@ -73,11 +73,6 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
     return texts.withColumn("base", F.expr(_base()))
 
 
-def _runs(least: int) -> str:
-    pattern = _RUN % least
-    return found(pattern, len(KINDS))
-
-
 def _outside() -> str:
     return "NOT exists(base, b -> b.start < s.end AND s.start < b.end)"
 
@@ -86,12 +81,13 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCUMENTS) -> list[float]:
     """Log-likelihood ratios of random to ordinary, by pair of characters of ``ALPHABET`` and one for all others."""
     ids = docs.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(rows).select("doc_id").distinct()
     sample = with_base_spans(docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text"))  # ``rows`` ids at most
-    labelled = sample.select("base", F.expr(f"explode({_runs(8)})").alias("s")).select(
-        F.expr(f"not({_outside()})").alias("random"), F.col("s.value").alias("value"))
+    known = sample.select(F.lit(True).alias("random"), F.explode("base.value").alias("value"))
+    ordinary = sample.where("size(base) = 0").select(
+        F.lit(False).alias("random"), F.expr(f"explode(regexp_extract_all(t, {_quoted(_RUN % 8)}, 0))").alias("value"))
     digests = ids.select(F.lit(True).alias("random"),
                          F.expr("base64(unhex(sha2(cast(doc_id as string), 256)))").alias("value"))
     place = f"instr('{ALPHABET}', substr(value, {{}}, 1))"
-    pairs = labelled.unionByName(digests).select("random", F.expr(
+    pairs = known.unionByName(ordinary).unionByName(digests).where("length(value) > 1").select("random", F.expr(
         f"explode(transform(sequence(2, length(value)), i -> {place.format('i - 1')} * 100 + {place.format('i')}))").alias("pair"))
     counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()}
     size = len(ALPHABET) + 1
@@ -114,7 +110,7 @@ def with_spans(spark: SparkSession, docs: DataFrame, model: list[float] | None =
     index = f"instr('{ALPHABET}', substr(s.value, {{}}, 1))"
     score = (f"aggregate(sequence(2, length(s.value)), 0D, (acc, i) -> acc + "
              f"{table}[{index.format('i - 1')} * {size} + {index.format('i')}])")
-    added = f"filter({_runs(MIN_RUN)}, s -> {_outside()} AND {score} >= {THRESHOLD}D)"
+    added = f"filter({found(_RUN % MIN_RUN, len(KINDS))}, s -> {_outside()} AND {score} >= {THRESHOLD}D)"
     return with_base_spans(docs).withColumn("spans", F.expr(f"array_sort(concat(base, {added}))"))
 
 

@@ -1,7 +1,7 @@
 """Stream sinks: console, append files, exactly-once daily documents, upsert (K1-K5).
 
-Every file sink names what a micro-batch writes by its batch id and replaces it
-when the batch is run again, so a restart from the checkpoint leaves one copy.
+Every file sink names what a micro-batch writes by its batch id, once, so a restart
+from the checkpoint leaves one copy.
 """
 
 from __future__ import annotations
@@ -33,9 +33,21 @@ def _start(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int],
     return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
+def _complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to ``folder`` has ended; Spark leaves the marker when it commits the job."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def write_batch(df: DataFrame, batch_id: int, path: str, partitions: tuple[str, ...] = (),
                 max_records: int = 0, fmt: str = "parquet") -> None:
-    """Write one micro-batch into its own ``batch_id`` folder, replacing an earlier try."""
+    """Write one micro-batch into its own ``batch_id`` folder.
+
+    A batch that is run again after its folder was completed is left as it is, so readers
+    never see it go; one that broke off before is written over.
+    """
+    if _complete(df.sparkSession, f"{path}/batch_id={batch_id}"):
+        return
     if partitions:
         # few files per target folder, while a folder that gets most rows is still split
         df = df.hint("rebalance", *partitions)

@@ -323,6 +323,13 @@ def test_a_repeated_batch_leaves_one_copy(spark, tmp_path):
     for _ in range(2):
         sinks.write_batch(rows, 4, f"{tmp_path}/out", ("day",), fmt="json")
     assert spark.read.json(f"{tmp_path}/out").count() == 10
+    files = sorted(f"{d}/{f}" for d, _, names in os.walk(f"{tmp_path}/out") for f in names)
+    sinks.write_batch(rows, 4, f"{tmp_path}/out", ("day",), fmt="json")
+    assert files == sorted(f"{d}/{f}" for d, _, names in os.walk(f"{tmp_path}/out") for f in names)
+    # a try that broke off: its files are there, the marker is not
+    os.remove(f"{tmp_path}/out/batch_id=4/_SUCCESS")
+    sinks.write_batch(rows, 4, f"{tmp_path}/out", ("day",), fmt="json")
+    assert spark.read.json(f"{tmp_path}/out").count() == 10
 
 
 def test_lines_to_console_and_memory(spark, tmp_path):

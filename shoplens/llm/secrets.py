@@ -23,7 +23,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TRAIN_DOCUMENTS = 10_000
+TRAIN_DOCUMENTS = 2_000
 MIN_RUN = 20
 BACK_OFF = 20.0  # pairs that the distribution of single characters counts for in each row
 THRESHOLD = 12.0  # natural log; a random run of 20 characters scores about 40
@@ -32,7 +32,7 @@ THRESHOLD = 12.0  # natural log; a random run of 20 characters scores about 40
 # (for assignments the value, else the match).
 _VALUE = "[A-Za-z0-9+/_.=-]+"
 _ASSIGN = rf"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?({_VALUE})"""
-KINDS = {"assign": (_ASSIGN, 2, 6), "access": ("AKIA[A-Z0-9]+", 0, 20), "hex": ("[0-9a-f]+", 0, 24)}
+KINDS = {"assign": (_ASSIGN, 2, 6), "access": ("AKIA[A-Z0-9]{16,}", 0, 20), "hex": ("(?<![0-9a-f])[0-9a-f]{24,}", 0, 24)}
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-"
 _RUN = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 _SPAN = "struct<start: bigint, kind: int, end: bigint, value: string>"
@@ -42,11 +42,8 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def found(pattern: str, kind: int, group: int = 0, least: int = 0, gate: str | None = None) -> str:
-    """SQL for the spans of a pattern in ``t``, leftmost and without overlap.
-
-    ``gate`` is a cheaper pattern that every text with a span matches.
-    """
+def found(pattern: str, kind: int, group: int = 0, least: int = 0) -> str:
+    """SQL for the spans of a pattern in ``t``, leftmost and without overlap."""
     p = _quoted(pattern)
     value = f"regexp_extract(ms[i], {p}, {group})" if group else "ms[i]"
     begin = "acc.at + length(ps[i])"
@@ -55,15 +52,12 @@ def found(pattern: str, kind: int, group: int = 0, least: int = 0, gate: str | N
     every = (f"transform(array(regexp_extract_all(t, {p}, 0)), ms -> transform(array(split(t, {p}, -1)), ps -> "
              f"aggregate(sequence(0, size(ms) - 1), named_struct('at', 0L, 'out', cast(array() as array<{_SPAN}>)), "
              f"(acc, i) -> {step}, acc -> acc.out))[0])[0]")
-    return (f"if(t RLIKE {_quoted(gate or pattern)}, filter({every}, s -> length(s.value) >= {least}), "
+    return (f"if(t RLIKE {p}, filter({every}, s -> length(s.value) >= {least}), "
             f"cast(array() as array<{_SPAN}>))")
 
 
 def _base() -> str:
-    parts = []
-    for number, (name, (pattern, group, least)) in enumerate(KINDS.items()):
-        gate = "[0-9a-f]{%d}" % least if name == "hex" else "AKIA[A-Z0-9]{%d}" % (least - 4) if name == "access" else None
-        parts.append(found(pattern, number, group, least, gate))
+    parts = [found(pattern, number, group, least) for number, (pattern, group, least) in enumerate(KINDS.values())]
     return f"array_sort(concat({', '.join(parts)}))"
 
 
@@ -86,15 +80,16 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCUMENTS) -> list[float]:
         F.lit(False).alias("random"), F.expr(f"explode(regexp_extract_all(t, {_quoted(_RUN % 8)}, 0))").alias("value"))
     digests = ids.select(F.lit(True).alias("random"),
                          F.expr("base64(unhex(sha2(cast(doc_id as string), 256)))").alias("value"))
-    place = f"instr('{ALPHABET}', substr(value, {{}}, 1))"
     pairs = known.unionByName(ordinary).unionByName(digests).where("length(value) > 1").select("random", F.expr(
-        f"explode(transform(sequence(2, length(value)), i -> {place.format('i - 1')} * 100 + {place.format('i')}))").alias("pair"))
-    counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()}
-    size = len(ALPHABET) + 1
+        "explode(transform(sequence(1, length(value) - 1), i -> substr(value, i, 2)))").alias("pair"))
+    size, counts = len(ALPHABET) + 1, {}
+    for r in pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect():  # of fewer than 70 characters
+        a, b = (ALPHABET.find(c) + 1 for c in r["pair"])
+        counts[r["random"], a, b] = counts.get((r["random"], a, b), 0) + r["n"]
 
     def logs(random: bool) -> list[float]:
         """Log probabilities of the second character given the first, backed off to those of the character alone."""
-        rows = [[counts.get((random, 100 * a + b), 0) for b in range(size)] for a in range(size)]
+        rows = [[counts.get((random, a, b), 0) for b in range(size)] for a in range(size)]
         single = [sum(column) + 0.5 for column in zip(*rows)]
         total = sum(single)
         return [math.log((n + BACK_OFF * s / total) / (sum(row) + BACK_OFF)) for row in rows for n, s in zip(row, single)]

@@ -47,6 +47,7 @@ def write_batch(df: DataFrame, batch_id: int, path: str, partitions: tuple[str,
     never see it go; one that broke off before is written over.
     """
     if _complete(df.sparkSession, f"{path}/batch_id={batch_id}"):
+        df.write.format("noop").mode("overwrite").save()  # the state of the batch has to be committed again
         return
     if partitions:
         # few files per target folder, while a folder that gets most rows is still split

@@ -11,7 +11,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 
 WRITES_FILES = {"source_lines", "source_multi_lines"}
 # windows without a partition key over a digest: one row per hour, one per group of ranges
-SINGLE_TASK_DIGEST = {"uv_hll", "late_page_views", "salted_counts"}
+SINGLE_TASK_DIGEST = {"uv_hll", "late_page_views", "salted_counts",
+                      "hot_page_counts_in_time", "hot_pages_top_n_in_time"}  # the running maximum of late_page_views
 
 
 def plan(spark, name):

@@ -48,7 +48,7 @@ def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan_anywhere(table(spark, sf_dir, "documents"))
 
 
 def _secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Keyed state machines for streams.
+"""Keyed state machines for streams.
 
 One class per operator that needs state beyond windows and joins.  Spark splits
 the keys, keeps the state in its store and fires the timers; the classes hold
@@ -122,6 +122,9 @@ class InEventTimeOrder(StatefulProcessor):
         """What to keep of an input row, its time first."""
         raise NotImplementedError
 
+    def in_order(self, held: Iterator[tuple]) -> list[tuple]:
+        return sorted(held)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [self.taken(row) for row in rows]
         self.held.appendList(new)
@@ -131,7 +134,7 @@ class InEventTimeOrder(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        held = sorted(self.held.get()) if self.held.exists() else []
+        held = self.in_order(self.held.get()) if self.held.exists() else []
         ready = [row for row in held if row[0] * 1000 <= watermark]
         partial = list(self.partial.get()) if self.partial.exists() else []
         if not ready and not partial:
@@ -311,3 +314,58 @@ def order_pay_pattern(orders: DataFrame, within_s: int = 300) -> DataFrame:
     return known.groupBy("order_id").transformWithState(
         OrderPayPattern(within_s), RESULT,
         "append", "eventTime")
+
+
+RECONCILED = ("tx_id STRING, outcome STRING, order_id BIGINT, event_type STRING, order_time BIGINT, "
+              "pay_channel STRING, receipt_time BIGINT")
+ReconciledRow = Row(*(field.split()[0] for field in RECONCILED.split(", ")))
+
+
+class PayReceiptMatch(InEventTimeOrder):
+    """The last row of a transaction waits for one of the other side, or is left over."""
+
+    row_schema = partial_schema = "at BIGINT, receipt BOOLEAN, order_id BIGINT, event_type STRING, pay_channel STRING"
+    output = ReconciledRow
+
+    def __init__(self, before_s: int, after_s: int) -> None:
+        self.before_s, self.after_s = before_s, after_s
+
+    def taken(self, row: Row) -> tuple:
+        return row.timestamp, row.is_receipt, row.order_id, row.event_type, row.pay_channel
+
+    def in_order(self, held):
+        """Pays before receipts in one second, nulls first, as in the batch form."""
+        return sorted(held, key=lambda row: [(value is not None, value) for value in row])
+
+    def _end(self, row: tuple) -> int:
+        """The last second in which a partner may come."""
+        return row[0] + (self.before_s if row[1] else self.after_s)
+
+    def _alone(self, row: tuple) -> tuple:
+        at, receipt, order_id, event_type, channel = row
+        if receipt:
+            return "unmatched-receipt", None, None, None, channel, at
+        return "unmatched-pay", order_id, event_type, at, None, None
+
+    def step(self, partial, row):
+        if not partial:
+            return [row], []
+        waiting = partial[0]
+        if waiting[1] == row[1] or row[0] > self._end(waiting):
+            return [row], [self._alone(waiting)]
+        pay, receipt = (waiting, row) if row[1] else (row, waiting)
+        return [], [("matched", pay[2], pay[3], pay[0], receipt[4], receipt[0])]
+
+    def expire(self, partial, watermark_ms):
+        if partial and self._end(partial[0]) * 1000 <= watermark_ms:
+            return [], [self._alone(partial[0])]
+        return partial, []
+
+    def deadlines(self, partial):
+        return {self._end(row) * 1000 for row in partial}
+
+
+def pay_receipt_match(rows: DataFrame, before_s: int = 3, after_s: int = 5) -> DataFrame:
+    """The rules of the batch form, over the rows of both sides with ``is_receipt``."""
+    return rows.groupBy("tx_id").transformWithState(
+        PayReceiptMatch(before_s, after_s), RECONCILED, "append", "eventTime")

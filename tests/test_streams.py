@@ -300,6 +300,28 @@ def test_reconciled_streams_equal_batch(spark, tmp_path):
     assert kind("unmatched-receipt", "tx_id") == table(batch.unmatched_receipts.select("tx_id")) != []
 
 
+def test_reconciled_streams_of_repeated_ids_equal_batch(spark, tmp_path):
+    """Several pays and receipts of one transaction, out of order, and rows without an id."""
+    rng = random.Random(7)
+    ids = ["a", "b", "c", None, ""]
+    pays = [(n, "pay", rng.choice(ids), H + rng.randrange(200)) for n in range(150)]
+    receipts = [(rng.choice(ids), f"c{n}", H + rng.randrange(200)) for n in range(150)]
+    for rows, at in ((pays, 3), (receipts, 2)):
+        rows.sort(key=lambda r: r[at] + rng.random() * 5)
+    parts = lambda rows: [rows[:50], rows[50:100], rows[100:]]
+    left = with_event_time(feed(spark, tmp_path / "p", parts(pays) + [[(999, "pay", "x", CLOSE)]], schemas.ORDER), "6 seconds")
+    right = with_event_time(feed(spark, tmp_path / "r", parts(receipts) + [[("y", "z", CLOSE)]], schemas.RECEIPT), "6 seconds")
+    batch = payments.pay_receipt_match(spark.createDataFrame(pays, schemas.ORDER), spark.createDataFrame(receipts, schemas.RECEIPT))
+    got = drain(spark, joins.reconcile(left, right), tmp_path).where(f"coalesce(order_time, receipt_time) < {CLOSE}")
+    kind = lambda name, *columns: table(got.where(f"outcome = '{name}'").selectExpr("coalesce(tx_id, 'null')", *columns))
+    want = lambda df, *columns: table(df.selectExpr("coalesce(tx_id, 'null')", *columns))
+    pair = ["order_id", "event_type", "order_time", "pay_channel", "receipt_time"]
+    assert kind("matched", *pair) == want(batch.matched, *pair) != []
+    assert kind("unmatched-pay", "order_id", "order_time") == want(batch.unmatched_pays, "order_id", "timestamp") != []
+    assert kind("unmatched-receipt", "pay_channel", "receipt_time") == want(
+        batch.unmatched_receipts, "pay_channel", "timestamp") != []
+
+
 def test_daily_documents_survive_a_replay(spark, tmp_path):
     left, right, batch = payment_streams(spark, tmp_path)
     documents = document_rows(joins.interval_join(left, right))

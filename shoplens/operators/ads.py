@@ -24,7 +24,30 @@ def cap_clicks(clicks: DataFrame, tie: list[str], cap: int = 100, cycle_s: int =
     Spark keeps at most cap + 1 rows per (user, ad, cycle) and task before the
     exchange, however many clicks a pair has.
     """
-    numbered = clicks.withColumn("_cycle", floor_div("timestamp", cycle_s)).withColumn(
+    return _capped(clicks.withColumn("_cycle", floor_div("timestamp", cycle_s)), tie, cap)
+
+
+def cap_clicks_from_first(clicks: DataFrame, tie: list[str], cap: int = 100, cycle_s: int = 86400) -> CappedClicks:
+    """A18 with cycles that start at a click: the first of a user on an ad, then the first ``cycle_s`` or more after a start.
+
+    The starts of a pair are found by a fold over its different seconds, so one row holds at
+    most one value a second of the pair; the clicks themselves are not gathered.
+    """
+    keys = ["user_id", "ad_id"]
+    starts = clicks.groupBy(*keys).agg(F.sort_array(F.collect_set(F.col("timestamp").cast("bigint"))).alias("_at")).select(
+        *(F.col(k).alias(f"_{k}") for k in keys),
+        F.expr(f"""aggregate(_at, cast(array() as array<bigint>), (acc, t) ->
+                   if(size(acc) = 0 OR t >= acc[greatest(size(acc) - 1, 0)] + {int(cycle_s)}, concat(acc, array(t)), acc))""")
+        .alias("_starts"))
+    same = F.col("user_id").eqNullSafe(F.col("_user_id")) & F.col("ad_id").eqNullSafe(F.col("_ad_id"))
+    cycle = F.expr("array_max(filter(_starts, s -> s <= timestamp))")
+    placed = clicks.join(starts, same).withColumn("_cycle", cycle).drop("_user_id", "_ad_id", "_starts")
+    return _capped(placed, tie, cap)
+
+
+def _capped(clicks: DataFrame, tie: list[str], cap: int) -> CappedClicks:
+    """The first ``cap`` clicks of each ``_cycle``, and a warning for the next."""
+    numbered = clicks.withColumn(
         "_nth", F.row_number().over(
             Window.partitionBy("user_id", "ad_id", "_cycle").orderBy("timestamp", *tie)))
     passed = numbered.where(F.col("_nth") <= cap).drop("_nth", "_cycle")

@@ -167,6 +167,21 @@ _CAPPED = """numbered as (
     select *, row_number() over (partition by user_id, ad_id, timestamp // 86400
         order by timestamp, l_orderkey, l_linenumber, l_partkey, l_extendedprice) as nth from ad_click)"""
 
+# A18 with cycles of 24 hours from the first click of a user on an ad
+_CAPPED_24H = """starts as (
+    select user_id, ad_id, min(timestamp) as start from ad_click group by user_id, ad_id
+    union all
+    select user_id, ad_id, start from (
+        select s.user_id, s.ad_id, (select min(c.timestamp) from ad_click c where c.user_id = s.user_id
+                                    and c.ad_id = s.ad_id and c.timestamp >= s.start + 86400) as start
+        from starts s) n where start is not null),
+placed as (
+    select c.*, (select max(s.start) from starts s where s.user_id = c.user_id and s.ad_id = c.ad_id
+                 and s.start <= c.timestamp) as start from ad_click c),
+numbered as (
+    select *, row_number() over (partition by user_id, ad_id, start
+        order by timestamp, l_orderkey, l_linenumber, l_partkey, l_extendedprice) as nth from placed)"""
+
 _P1 = """marked as (
     select *, sum(case when login_state='success' then 1 else 0 end) over (partition by user_id
         order by timestamp, seq rows between unbounded preceding and current row) as island from login),
@@ -326,6 +341,12 @@ def sql() -> dict[str, str]:
         "ad_clicks_capped": over(ads, "select * exclude (nth) from numbered where nth <= 100", _CAPPED),
         "ad_blacklist": over(ads, "select user_id, ad_id, 'click over 100times.' as warning_msg "
                                   "from numbered where nth = 101", _CAPPED),
+        "ad_clicks_capped_24h": over(ads, "select * exclude (nth, start) from numbered where nth <= 100", _CAPPED_24H, recursive=True),
+        "ad_blacklist_24h": over(ads, "select user_id, ad_id, 'click over 100times.' as warning_msg "
+                                      "from numbered where nth = 101", _CAPPED_24H, recursive=True),
+        "ad_clicks_capped_24h_counts": over(ads, """
+            select user_id, ad_id, count_if(nth = 1)::bigint as passed, count_if(nth = 2)::bigint as warned
+            from numbered group by user_id, ad_id""", _CAPPED_24H, recursive=True),
         "ad_clicks_capped_per_hour": over(ads, """
             select user_id, ad_id, cast(sum(least(n, 3)) as bigint) as passed, cast(count_if(n > 3) as bigint) as warned
             from (select user_id, ad_id, timestamp // 3600 as hour, count(*) as n from ad_click group by 1, 2, 3) h

@@ -131,6 +131,18 @@ def _capped(spark, sf, **options):
     return ads.cap_clicks(tables.ad_click(spark, sf), tables.CLICK_TIE, **options)
 
 
+def _capped_24h(spark, sf, **options):
+    return ads.cap_clicks_from_first(tables.ad_click(spark, sf), tables.CLICK_TIE, **options)
+
+
+def _capped_24h_counts(spark, sf):
+    """A cap of one, which the tables reach: clicks passed and warnings of each user and ad."""
+    passed, warnings = _capped_24h(spark, sf, cap=1)
+    rows = passed.select("user_id", "ad_id", F.lit(1).alias("p"), F.lit(0).alias("w")).unionByName(
+        warnings.select("user_id", "ad_id", F.lit(0).alias("p"), F.lit(1).alias("w")))
+    return rows.groupBy("user_id", "ad_id").agg(F.sum("p").alias("passed"), F.sum("w").alias("warned"))
+
+
 def _capped_per_hour(spark, sf):
     passed, warnings = _capped(spark, sf, cap=3, cycle_s=3600)
     rows = passed.select("user_id", "ad_id", F.lit(1).alias("p"), F.lit(0).alias("w")).unionByName(
@@ -222,6 +234,9 @@ def queries() -> dict[str, Query]:
         "ad_clicks_capped": lambda s, d: _capped(s, d).passed,
         "ad_blacklist": lambda s, d: _capped(s, d).warnings,
         "ad_clicks_capped_per_hour": _capped_per_hour,
+        "ad_clicks_capped_24h": lambda s, d: _capped_24h(s, d).passed,
+        "ad_blacklist_24h": lambda s, d: _capped_24h(s, d).warnings,
+        "ad_clicks_capped_24h_counts": _capped_24h_counts,
         "ad_count_by_province": lambda s, d: ads.ad_count_by_province(_capped(s, d).passed),
         "login_fail_window": lambda s, d: patterns.login_fail_window(login(s, d), "seq"),
         "login_fail_consecutive": lambda s, d: patterns.login_fail_consecutive(login(s, d), "seq"),

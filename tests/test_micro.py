@@ -152,6 +152,18 @@ def test_marketing_keeps_null_and_drops_uninstall(spark):
     assert {(r.channel, r.behavior, r["count"]) for r in by} == {("c", "INSTALL", 1), ("c", None, 1)}
 
 
+def test_click_cycle_starts_at_the_first_click(spark):
+    """100 clicks before midnight and 100 after it are one cycle; 24 hours after the first click a new one starts."""
+    day = 20_000 * 86_400
+    at = [day - 600] * 100 + [day + 600] * 100 + [day + 85_799] + [day + 85_800] * 101
+    rows = [(1, 1, "p", "c", t, n) for n, t in enumerate(at)] + [(None, 1, "p", "c", day, 900), (1, None, "p", "c", day, 901)]
+    clicks = spark.createDataFrame(rows, "user_id BIGINT, ad_id BIGINT, province STRING, city STRING, timestamp BIGINT, tie BIGINT")
+    passed, warnings = ads.cap_clicks_from_first(clicks, ["tie"])
+    assert sorted(r.tie for r in passed.collect()) == [*range(100), *range(201, 301), 900, 901]
+    assert [tuple(r) for r in warnings.collect()] == [(1, 1, "click over 100times.")] * 2
+    assert passed.columns == clicks.columns
+
+
 def test_click_cap_and_warning(spark):
     data = [(1, 1, "p", "c", H + t, n) for n, t in enumerate([0, 1, 2, 3, 86_400])]
     clicks = spark.createDataFrame(data, schemas.AD_CLICK + ", tie BIGINT")

@@ -11,7 +11,11 @@
    two similar texts must share one of the first fifth of each, at places that still
    leave room for enough overlap.  A passage that thousands of texts share is frequent,
    so it brings no pairs.  Pairs of the same class are not asked again.
-5. Links of all steps give the final classes, by large-star / small-star rounds.
+5. The index is first asked in ``TURNS`` turns of linear size: under each shingle all
+   nodes are compared with one node of another class, and the classes are made anew.
+   So the fragments of a large group of copies grow together before pairs are made;
+   the pairs that are left, between texts still in different classes, are all compared.
+6. Links of all steps give the final classes, by large-star / small-star rounds.
 
 The order of shingles comes from counts in ``COUNTERS`` hashed counters, a bound that
 holds for any input; a coarser order costs time, not links.
@@ -39,6 +43,7 @@ from shoplens.llm.common import KEY, binaries, keep, own_columns, pieces, row_ke
 BAND_SLOTS = 4
 BANDS = bag.SLOTS // BAND_SLOTS
 COUNTERS = 1 << 20
+TURNS = 2
 
 _Batches = Iterator[pa.RecordBatch]
 
@@ -110,10 +115,12 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     while True:
         # large star: neighbours above a node go to the smallest around it
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # minima are written first: a join of two read tables is one whose hot nodes Spark splits
+        least = keep(spark, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = both.join(least, "a").where("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: a node and its neighbours below go to the smallest of them
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = keep(spark, large, "large")
+        lowest = keep(spark, large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(lowest.select("a", "m"))
         edges = keep(spark, small.where("a <> b").distinct(), "links")
         before, known = known, edges.agg(*digest).first()
@@ -187,17 +194,42 @@ def _rarest(spark: SparkSession, texts: DataFrame) -> DataFrame:
         first_fifth, "node binary, w long, token long, place int")
 
 
-def _remaining(spark: SparkSession, opened: DataFrame, texts: DataFrame) -> DataFrame:
-    """All pairs of nodes of open buckets that are in different classes and can be similar."""
+def _room(a: str, b: str) -> str:
+    """Whether texts whose first shared token has these places can be similar."""
+    return f"18 * least(w_{a} - place_{a}, w_{b} - place_{b}) >= 8 * (w_{a} + w_{b}) AND {_fits(f'w_{a}', f'w_{b}')}"
+
+
+def _named(spark: SparkSession, rare: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of the index under tokens that several classes share, with their classes so far."""
+    rows = rare.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    rows = keep(spark, rows, "named")
+    several = rows.groupBy("token").agg((F.min("class") != F.max("class")).alias("several")).where("several")
+    return keep(spark, rows.join(keep(spark, several.select("token"), "several"), "token"), "named")
+
+
+def _side(rows: DataFrame, side: str) -> DataFrame:
+    return rows.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "class", "w", "place")))
+
+
+def _by_turn(spark: SparkSession, rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each node with the one node that stands for its token in this turn, unless of one class."""
+    rank = F.xxhash64(F.lit(turn), "node" if turn % 2 else "class")
+    stands = rows.groupBy("token").agg(F.max(F.struct(rank.alias("rank"), "node", "class", "w", "place")).alias("top"))
+    stands = keep(spark, stands.select("token", "top.node", "top.class", "top.w", "top.place"), "stands")
+    x, y = _side(rows, "a"), _side(stands, "b")
+    able = (x["class_a"] != y["class_b"]) & F.expr(_room("a", "b"))
+    return x.join(y, "token").where(able).select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def _remaining(spark: SparkSession, opened: DataFrame, texts: DataFrame, rare: DataFrame | None = None) -> DataFrame:
+    """All pairs of opened nodes that are in different classes and can be similar; ``rare`` is their index if made."""
     nodes = opened.select("node", "class").distinct()
-    prefix = keep(spark, _rarest(spark, texts.join(nodes.select("node"), "node", "left_semi"))
-                  .join(nodes, "node"), "prefix")
-    mixed = prefix.groupBy("token").agg((F.min("class") != F.max("class")).alias("several")).where("several")
-    rows = prefix.join(mixed.select("token"), "token", "left_semi")
-    x = rows.select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "class", "w", "place")))
-    y = rows.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "class", "w", "place")))
-    room = "18 * least(w_a - place_a, w_b - place_b) >= 8 * (w_a + w_b)"
-    able = (x["node_a"] < y["node_b"]) & (x["class_a"] != y["class_b"]) & F.expr(_fits("w_a", "w_b")) & F.expr(room)
+    if rare is None:
+        rare = _rarest(spark, texts.join(nodes.select("node"), "node", "left_semi"))
+    rows = _named(spark, rare, nodes)
+    x, y = _side(rows, "a"), _side(rows, "b")
+    able = (x["node_a"] < y["node_b"]) & (x["class_a"] != y["class_b"]) & F.expr(_room("a", "b"))
     return x.join(y, (x["token"] == y["token"]) & able).select(
         F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
@@ -215,14 +247,21 @@ def node_classes(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataF
                  .select("node", "text").dropDuplicates(["node"]), "texts")
 
     led = buckets.where(F.expr("node <> leader.node AND " + _fits("w", "leader.w")))
-    first = led.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct()
+    first = keep(spark, led.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct(), "asked")
     links = keep(spark, verified(first, texts), "verified")
 
     led = _open(buckets, _labels(spark, links)).where(F.expr("class <> top.class AND " + _fits("w", "top.w")))
     second = led.select(F.least("top.node", "node").alias("a"), F.greatest("top.node", "node").alias("b")).distinct()
-    links = keep(spark, links.union(verified(second.join(first, ["a", "b"], "left_anti"), texts)), "verified")
-
-    rest = _remaining(spark, _open(buckets, _labels(spark, links)), texts)
+    second = keep(spark, second.join(first, ["a", "b"], "left_anti"), "asked")
+    links = keep(spark, links.union(verified(second, texts)), "verified")
+
+    opened = keep(spark, _open(buckets, _labels(spark, links)).select("node").distinct(), "open")
+    rare = keep(spark, _rarest(spark, texts.join(opened, "node", "left_semi")), "rare")
+    asked = first.union(second)
+    for turn in range(TURNS):
+        pairs = keep(spark, _by_turn(spark, _named(spark, rare, components(spark, links)), turn).join(asked, ["a", "b"], "left_anti"), "asked")
+        links, asked = keep(spark, links.union(verified(pairs, texts)), "verified"), asked.union(pairs)
+    rest = _remaining(spark, components(spark, links), texts, rare).join(asked, ["a", "b"], "left_anti")
     return keep(spark, components(spark, links.union(verified(rest, texts))), "classes")
 
 

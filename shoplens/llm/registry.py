@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shoplens.llm import chat, decontam, licenses, linededup, minhash, packing, quality, secrets, tokencount, warc
+from shoplens.llm import (
+    chat, decontam, licenses, linededup, minhash, packing, quality, secrets, spelling, tokencount, vectorcodes, warc)
 from shoplens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,14 @@ def _chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(spark, table(spark, sf_dir, "conversations"))
 
 
+def _spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
+
+
+def _vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(spark, table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc_index_merge": _warc,
@@ -71,5 +80,7 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": _license_scan,
         "op9_secret_scan": _secret_scan,
         "op10_chat_formatting": _chat_formatting,
+        "op12_spelling_variants": _spelling_variants,
+        "op13_vector_codes": _vector_codes,
         "pipeline": corpus_pipeline.run,
     }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shoplens.llm import (
-    chat, decontam, licenses, linededup, minhash, packing, quality, secrets, spelling, tokencount, vectorcodes, warc)
+    chat, decontam, kneserney, licenses, linededup, minhash, packing, quality, secrets, spelling, tokencount, vectorcodes, warc)
 from shoplens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def _chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(spark, table(spark, sf_dir, "conversations"))
 
 
+def _lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneserney.held_out_scores(spark, table(spark, sf_dir, "documents"))
+
+
 def _spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spark, table(spark, sf_dir, "documents"))
 
@@ -80,6 +84,7 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": _license_scan,
         "op9_secret_scan": _secret_scan,
         "op10_chat_formatting": _chat_formatting,
+        "op11_lm_scoring": _lm_scoring,
         "op12_spelling_variants": _spelling_variants,
         "op13_vector_codes": _vector_codes,
         "pipeline": corpus_pipeline.run,

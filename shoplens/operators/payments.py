@@ -8,14 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.filters import has_transaction
-from shoplens.operators.ordered import max_before, running_count
 from shoplens.operators.windows import floor_div
 
-# width of the time slices that split one transaction id over many tasks
-SLICE_S = 60
-# rows of one transaction and second are numbered in so many bits; ranges of running values span 64 seconds
-ORDER_BITS = 24
-RANGE_BITS = ORDER_BITS + 6
+# widths of the time slices that split one transaction id over many tasks: for pairs, and for chains
+SLICE_S, CHAIN_SLICE_S = 60, 600
 
 
 class Reconciled(NamedTuple):
@@ -32,10 +28,10 @@ def _sliced(df: DataFrame) -> DataFrame:
     return df.withColumn("_slice", floor_div("timestamp", SLICE_S))
 
 
-def _spread(df: DataFrame, before_s: int, after_s: int) -> DataFrame:
+def _spread(df: DataFrame, before_s: int, after_s: int, slice_s: int = SLICE_S) -> DataFrame:
     """A copy of the row for every slice that its partners' times can fall in."""
-    first = floor_div(F.col("timestamp") - before_s, SLICE_S)
-    last = floor_div(F.col("timestamp") + after_s, SLICE_S)
+    first = floor_div(F.col("timestamp") - before_s, slice_s)
+    last = floor_div(F.col("timestamp") + after_s, slice_s)
     return df.withColumn("_slice", F.explode(F.sequence(first, last)))
 
 
@@ -56,8 +52,12 @@ def pay_receipt_interval_join(pays: DataFrame, receipts: DataFrame,
         "tx_id", "order_id", "event_type", "order_time", "pay_channel", "receipt_time")
 
 
-def _chained(pays: DataFrame, receipts: DataFrame, before_s: int, after_s: int) -> DataFrame:
-    """Rows of both sides in one table with their neighbours along the transaction, and whether these are linked."""
+def _chained(pays: DataFrame, receipts: DataFrame, before_s: int, after_s: int, slice_s: int) -> DataFrame:
+    """Rows of both sides along each transaction and slice: linked to the row before or after them, and their place.
+
+    ``_nth`` numbers the rows of a slice; ``_base`` is the number of the last row not linked
+    to the one before it, null while the slice goes on with a chain of the slice before.
+    """
     pay, rec = F.struct("order_id", "event_type", "timestamp"), F.struct("pay_channel", "timestamp")
     kind_of = lambda df, column: df.select(column.alias("c")).schema["c"].dataType
     none = F.lit(None)
@@ -65,25 +65,41 @@ def _chained(pays: DataFrame, receipts: DataFrame, before_s: int, after_s: int)
                        none.cast(kind_of(receipts, rec)).alias("_rec")).unionByName(
         receipts.select("tx_id", "timestamp", F.lit(True).alias("_receipt"),
                         none.cast(kind_of(pays, pay)).alias("_pay"), rec.alias("_rec")))
-    # a unique order along a transaction: the second, then the number within it
-    within = F.row_number().over(Window.partitionBy("tx_id", "timestamp").orderBy("_receipt", "_pay", "_rec"))
-    rows = rows.withColumn("_order", F.shiftleft(F.col("timestamp").cast("bigint"), ORDER_BITS) + within)
 
     reach = max(before_s, after_s)
-    along = Window.partitionBy("tx_id", "_slice").orderBy("_order")
+    along = Window.partitionBy("tx_id", "_slice").orderBy("timestamp", "_receipt", "_pay", "_rec")
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
     gap = lambda first, second: F.col(f"{second}.at") - F.col(f"{first}.at")
     link = lambda first, second: F.coalesce(
         (F.col(f"{first}.receipt") != F.col(f"{second}.receipt"))
         & (gap(first, second) <= F.when(F.col(f"{second}.receipt"), after_s).otherwise(before_s)), F.lit(False))
     me = F.struct(F.col("timestamp").alias("at"), F.col("_receipt").alias("receipt"), "_pay", "_rec")
-    near = _spread(rows, reach, reach).withColumn("_me", me)
-    near = near.withColumn("_prev", F.lag("_me").over(along)).withColumn("_next", F.lead("_me").over(along))
-    own = near.where(F.col("_slice") == floor_div("timestamp", SLICE_S)).drop("_slice")
-    return own.withColumn("_linked", link("_prev", "_me")).withColumn("_more", link("_me", "_next")).drop("_me", "_next")
+    near = _spread(rows, reach, reach, slice_s).withColumn("_me", me).withColumn(
+        "_own", F.col("_slice") == floor_div("timestamp", slice_s))
+    near = near.select("*", F.lag("_me").over(along).alias("_prev"), F.lead("_me").over(along).alias("_next"),
+                       F.lead("_own").over(along).alias("_goes_on"), F.sum(F.col("_own").cast("int")).over(so_far).alias("_nth"))
+    near = near.withColumn("_linked", link("_prev", "_me")).withColumn("_more", link("_me", "_next"))
+    base = F.last(F.when(F.col("_own") & ~F.col("_linked"), F.col("_nth")), ignorenulls=True).over(so_far)
+    return near.withColumn("_base", base).where("_own").drop("_me", "_next", "_own")
 
 
-def pay_receipt_match(pays: DataFrame, receipts: DataFrame,
-                      before_s: int = 3, after_s: int = 5) -> Reconciled:
+def _carried(chained: DataFrame) -> DataFrame:
+    """Per transaction and slice that goes on with a chain: ``_before``, the rows of that chain after its first.
+
+    Only slices whose chains cross a border take part, with one row each.
+    """
+    ends = chained.where(~F.coalesce("_goes_on", F.lit(False)))  # the last row of a slice
+    digest = ends.where("_more").select(
+        "tx_id", "_slice", F.col("_nth").alias("_n"), F.col("_base").isNull().alias("_whole"),
+        F.coalesce(F.col("_nth") - F.col("_base"), F.lit(0)).alias("_tail"))
+    along = Window.partitionBy("tx_id").orderBy("_slice")
+    total = F.sum("_n").over(along)
+    start = F.last(F.when(~F.col("_whole"), total - F.col("_tail")), ignorenulls=True).over(along)
+    return digest.select("tx_id", (F.col("_slice") + 1).alias("_slice"), (total - start).alias("_before"))
+
+
+def pay_receipt_match(pays: DataFrame, receipts: DataFrame, before_s: int = 3, after_s: int = 5,
+                      slice_s: int = CHAIN_SLICE_S) -> Reconciled:
     """Pays and receipts matched one to one, and those of either side left waiting.
 
     Along the rows of a transaction (pays before receipts in one second), a row closes a
@@ -92,15 +108,14 @@ def pay_receipt_match(pays: DataFrame, receipts: DataFrame,
     Rows so linked form chains that pair up two by two, so every row is used once.  Rows
     without an id do not take part and are left over.
 
-    Neighbours are found within slices of time, and places in a chain by running values
-    over ranges, so the rows of one transaction are spread over tasks.
+    One exchange by transaction and slice of time serves neighbours and places; what crosses
+    the border of a slice is carried by one row for each such slice.
     """
     paid = pays.where(has_transaction())
-    rows = _chained(paid.where(_joinable()), receipts.where(_joinable()), before_s, after_s)
-    placed = running_count(rows, ["tx_id"], "_order", "_place", RANGE_BITS)
-    placed = placed.withColumn("_start", F.when(~F.col("_linked"), F.col("_place")))
-    placed = max_before(placed, "_start", "_order", "_earlier", RANGE_BITS, ["tx_id"])
-    odd = (F.col("_place") - F.coalesce("_start", "_earlier")) % 2 == 1
+    rows = _chained(paid.where(_joinable()), receipts.where(_joinable()), before_s, after_s, slice_s)
+    placed = rows.join(_carried(rows), ["tx_id", "_slice"], "left")
+    since = F.col("_nth") - F.coalesce("_base", -F.coalesce("_before", F.lit(0)))
+    odd = since % 2 == 1
     pay, rec = F.coalesce("_pay", "_prev._pay"), F.coalesce("_rec", "_prev._rec")
     matched = placed.where(odd).select(
         "tx_id", pay["order_id"].alias("order_id"), pay["event_type"].alias("event_type"),

@@ -9,6 +9,19 @@ from __future__ import annotations
 _E = "cast(floor(epoch({})) as bigint)"
 _K = "cast(json_extract_string(props,'$.k') as bigint)"
 
+
+
+def _arriving(source: str, number: str) -> str:
+    return f"""
+        select *, timestamp + case {number} % 10 when 1 then 45 when 3 then 900 when 7 then 300 when 9 then 7200
+                                                 else 0 end as arrival from {source}"""
+
+
+def _rush(source: str, fast: int = 60) -> str:
+    fast = f"(select * replace (1704067200 + cast(floor((timestamp - 1704067200) / {fast}) as bigint) as timestamp) from {source}) r"
+    return _arriving(fast, "event_id")
+
+
 VIEWS = {
     "user_behavior": f"""
         select user_id, {_K} as item_id, cast({_K} % 5 as int) as category_id,
@@ -25,6 +38,11 @@ VIEWS = {
     "delayed_access_log": """
         select *, (timestamp + case when event_id%10=3 then 900 else 0 end)*2147483648 + event_id as arrival
         from access_log""",
+    # events so many times as fast, of which some arrive late
+    "rush_access_log": _rush("access_log", 240),
+    "rush_user_behavior": _rush("user_behavior"),
+    "rush_marketing": _rush("marketing"),
+    "late_ad_click": _arriving("ad_click", "l_orderkey"),
     "marketing": f"""
         select user_id,
                case event_type when 'view' then 'BROWSE' when 'click' then 'CLICK' when 'purchase' then 'DOWNLOAD'
@@ -61,7 +79,11 @@ VIEWS = {
         from orders where o_orderkey%6<>0""",
 }
 
-_NEEDS = {"delayed_access_log": ["access_log"]}
+VIEWS["ad_click_days"] = """
+        select * replace (1704067200 + (l_orderkey*1237 + l_linenumber*11003) % 169200 as timestamp) from ad_click"""
+
+_NEEDS = {"delayed_access_log": ["access_log"], "rush_access_log": ["access_log"], "rush_user_behavior": ["user_behavior"],
+          "rush_marketing": ["marketing"], "late_ad_click": ["ad_click"], "ad_click_days": ["ad_click"]}
 
 
 def over(views: list[str], query: str, steps: str = "", recursive: bool = False) -> str:
@@ -90,22 +112,48 @@ _PAGE = "method='GET' and not regexp_matches(url, '\\.(css|js|png|ico)$')"
 _HOT_PAGES = "hot as (" + sliding("access_log", "url", 600, 5, _PAGE) + ")"
 
 
-# Deliveries of the registered streams: a column cut into three equal spans.
-_SLICED = """sliced as (
-    select s.*, ({by} - low) * 3 // span as slice
-    from {source} s, (select min({by}) as low, max({by}) - min({by}) + 1 as span from {source}) ends)"""
+# Deliveries of streams whose events arrive late: five equal spans of arrival; the watermark after each and before it.
+def _arrivals(source: str, delay_ms: int) -> str:
+    return f"""sliced as (
+    select s.*, (arrival - low) * 5 // span as slice
+    from {source} s, (select min(arrival) as low, max(arrival) - min(arrival) + 1 as span from {source}) ends),
+tops as (select slice, max(timestamp) as top from sliced group by slice),
+marks as (
+    select i as slice, (select max(top) from tops where slice <= i) * 1000 - {delay_ms} as mark,
+           (select max(top) from tops where slice < i) * 1000 - {delay_ms} as before
+    from range(0, 5) t(i))"""
 
-_PAGE_CHANGES = _SLICED.format(by="timestamp", source="access_log") + f""",
+
+def in_time(source: str, keys: str, size: int, slide: int, where: str, delay_ms: int = 200, lateness_ms: int = 0,
+            steps: str = "", rows: str = "sliced") -> str:
+    """``accepted``: one row per event and window that was open when it came; ``hot``: counts of windows closed at the end."""
+    by = keys + ", " if keys else ""
+    return _arrivals(source, delay_ms) + f"""{steps},
 parts as (
-    select url, ((timestamp // 5) - i) * 5000 + 600000 as window_end, slice, count(*) as n
-    from sliced, range(0, 120) t(i) where {_PAGE} group by url, window_end, slice),
+    select {by}((timestamp // {slide}) - i) * {slide * 1000} + {size * 1000} as window_end, slice
+    from {rows}, range(0, {size // slide}) t(i) where {where}),
+accepted as (
+    select p.* from parts p join marks m on m.slice = p.slice
+    where m.before is null or window_end - 1 + {lateness_ms} > m.before),
+hot as (
+    select {by}window_end, count(*) as count from accepted
+    where window_end - 1 <= (select max(mark) from marks) group by {by}window_end)"""
+
+
+# What a window has given out after each delivery: the first time when it is closed, then when late rows correct it.
+def _versions(key: str) -> str:
+    return f"""
+added as (
+    select {key}, window_end, greatest(slice, (select count(*) from marks where mark < window_end - 1)) as slice, count(*) as n
+    from accepted where window_end - 1 <= (select max(mark) from marks) group by all),
 versions as (
-    select url, window_end, slice, cast(sum(n) over (partition by url, window_end order by slice) as bigint) as count
-    from parts)"""
+    select {key}, window_end, slice, cast(sum(n) over (partition by {key}, window_end order by slice) as bigint) as count
+    from added)"""
 
-_LATE_SPLIT = _SLICED.format(by="arrival", source="delayed_access_log") + """,
-tops as (select slice, max(timestamp) as top from sliced group by slice),
-earlier as (select a.slice, max(b.top) as seen from tops a left join tops b on b.slice < a.slice group by a.slice)"""
+
+_RUSH_ITEMS = in_time("rush_user_behavior", "item_id", 3600, 300, "behavior='pv'")
+_RUSH_PAGES = in_time("rush_access_log", "url", 600, 5, _PAGE, 1000, 60000)
+_PAGE_CHANGES = _RUSH_PAGES + "," + _versions("url")
 
 _FIRST_SEEN = """views as (
     select user_id, (timestamp // 3600) * 3600000 + 3600000 as window_end from user_behavior where behavior='pv'),
@@ -124,13 +172,10 @@ hot as (
     where {_PAGE} and not coalesce(((timestamp // 5) - i) * 5000 + 600000 - 1 + 60000 <= (seen - 1) * 1000, false)
     group by url, window_end)"""
 
-_RANK_CHANGES = _SLICED.format(by="timestamp", source="user_behavior") + """,
-parts as (
-    select item_id, ((timestamp // 300) - i) * 300000 + 3600000 as window_end, slice, count(*) as n
-    from sliced, range(0, 12) t(i) where behavior='pv' group by item_id, window_end, slice),
+_RANK_CHANGES = in_time("rush_user_behavior", "item_id", 3600, 300, "behavior='pv'", 200, 600_000) + "," + _versions("item_id") + """,
 states as (
     select b.window_end, b.slice, p.item_id, cast(sum(p.n) as bigint) as cnt
-    from (select distinct window_end, slice from parts) b join parts p on p.window_end = b.window_end and p.slice <= b.slice
+    from (select distinct window_end, slice from added) b join added p on p.window_end = b.window_end and p.slice <= b.slice
     group by b.window_end, b.slice, p.item_id),
 ranks as (
     select *, cast(row_number() over (partition by window_end, slice order by cnt desc, item_id) as int) as row_num from states),
@@ -163,21 +208,26 @@ def _hours(count: str, label: str, where: str = "behavior='pv'") -> str:
         from user_behavior where {where} group by window_end"""
 
 
+_CAPPED_ON_ARRIVAL = """,
+numbered as (
+    select *, row_number() over (partition by user_id, ad_id, timestamp // 86400
+        order by slice, timestamp, l_orderkey, l_linenumber, l_partkey, l_extendedprice) as nth from sliced)"""
+
 _CAPPED = """numbered as (
     select *, row_number() over (partition by user_id, ad_id, timestamp // 86400
         order by timestamp, l_orderkey, l_linenumber, l_partkey, l_extendedprice) as nth from ad_click)"""
 
 # A18 with cycles of 24 hours from the first click of a user on an ad
 _CAPPED_24H = """starts as (
-    select user_id, ad_id, min(timestamp) as start from ad_click group by user_id, ad_id
+    select user_id, ad_id, min(timestamp) as start from ad_click_days group by user_id, ad_id
     union all
     select user_id, ad_id, start from (
-        select s.user_id, s.ad_id, (select min(c.timestamp) from ad_click c where c.user_id = s.user_id
+        select s.user_id, s.ad_id, (select min(c.timestamp) from ad_click_days c where c.user_id = s.user_id
                                     and c.ad_id = s.ad_id and c.timestamp >= s.start + 86400) as start
         from starts s) n where start is not null),
 placed as (
     select c.*, (select max(s.start) from starts s where s.user_id = c.user_id and s.ad_id = c.ad_id
-                 and s.start <= c.timestamp) as start from ad_click c),
+                 and s.start <= c.timestamp) as start from ad_click_days c),
 numbered as (
     select *, row_number() over (partition by user_id, ad_id, start
         order by timestamp, l_orderkey, l_linenumber, l_partkey, l_extendedprice) as nth from placed)"""
@@ -255,6 +305,7 @@ _J1 = """
 
 def sql() -> dict[str, str]:
     ub, log, ads, orders = ["user_behavior"], ["access_log"], ["ad_click"], ["order_event"]
+    days = ["ad_click_days"]
     both = ["order_event", "receipt"]
     pairs = "select tx_id, order_id, event_type, order_time, pay_channel, receipt_time from pairs"
     return {
@@ -341,10 +392,10 @@ def sql() -> dict[str, str]:
         "ad_clicks_capped": over(ads, "select * exclude (nth) from numbered where nth <= 100", _CAPPED),
         "ad_blacklist": over(ads, "select user_id, ad_id, 'click over 100times.' as warning_msg "
                                   "from numbered where nth = 101", _CAPPED),
-        "ad_clicks_capped_24h": over(ads, "select * exclude (nth, start) from numbered where nth <= 100", _CAPPED_24H, recursive=True),
-        "ad_blacklist_24h": over(ads, "select user_id, ad_id, 'click over 100times.' as warning_msg "
-                                      "from numbered where nth = 101", _CAPPED_24H, recursive=True),
-        "ad_clicks_capped_24h_counts": over(ads, """
+        "ad_clicks_capped_24h": over(days, "select * exclude (nth, start) from numbered where nth <= 50", _CAPPED_24H, recursive=True),
+        "ad_blacklist_24h": over(days, "select user_id, ad_id, 'click over 50times.' as warning_msg "
+                                      "from numbered where nth = 51", _CAPPED_24H, recursive=True),
+        "ad_clicks_capped_24h_counts": over(days, """
             select user_id, ad_id, count_if(nth = 1)::bigint as passed, count_if(nth = 2)::bigint as warned
             from numbered group by user_id, ad_id""", _CAPPED_24H, recursive=True),
         "ad_clicks_capped_per_hour": over(ads, """
@@ -406,7 +457,7 @@ def sql() -> dict[str, str]:
 
 def stream_sql() -> dict[str, str]:
     """Oracles of the streaming queries: the batch result, cut where the final watermark stops it."""
-    ub, mk, log, ads, orders = ["user_behavior"], ["marketing"], ["access_log"], ["ad_click"], ["order_event"]
+    ub, orders = ["user_behavior"], ["order_event"]
     both = ["order_event", "receipt"]
 
     def mark(source: str, delay_ms: int = 200) -> str:
@@ -417,29 +468,33 @@ def stream_sql() -> dict[str, str]:
         return f"window_end <= {mark(source)}"
 
     both_mark = f"(select least({mark('order_event', 300)}, {mark('receipt', 300)}))"
-    hot_items, hot_pages = "select * from hot where " + closed("user_behavior"), "select * from hot"
+    days = ["ad_click_days"]
     result = {
-        "stream_hot_item_counts": over(ub, hot_items, _HOT_ITEMS),
-        "stream_hot_items_top_n": over(ub, "select * from ranked where " + closed("user_behavior"),
-                                       _HOT_ITEMS + ",\n" + _ranked("item_id")),
-        "stream_hot_page_counts": over(log, hot_pages, _HOT_PAGES),
-        "stream_hot_pages_top_n": over(log, "select * from ranked", _HOT_PAGES + ",\n" + _ranked("url")),
-        "stream_hot_items_sql": over(ub, """
+        "stream_hot_item_counts": over(["rush_user_behavior"], "select * from hot", _RUSH_ITEMS),
+        "stream_hot_items_top_n": over(["rush_user_behavior"], "select * from ranked", _RUSH_ITEMS + ",\n" + _ranked("item_id")),
+        "stream_hot_page_counts": over(["rush_access_log"], "select * from hot", _RUSH_PAGES),
+        "stream_hot_pages_top_n": over(["rush_access_log"], "select * from ranked", _RUSH_PAGES + ",\n" + _ranked("url")),
+        "stream_hot_items_sql": over(["rush_user_behavior"], """
             select item_id, window_end, cnt, row_num, true as added from moves
             where (item_id, cnt) is distinct from (old_item, old_cnt)
             union all
             select old_item, window_end, old_cnt, row_num, false from moves
             where old_item is not null and (item_id, cnt) is distinct from (old_item, old_cnt)""", _RANK_CHANGES),
-        "stream_hot_page_changes": over(log, """
+        "stream_hot_page_changes": over(["rush_access_log"], """
             select url, window_end, true as added, count from versions
             union all
             select url, window_end, false, before
             from (select *, lag(count) over (partition by url, window_end order by slice) as before from versions) v
             where before is not null""", _PAGE_CHANGES),
-        "stream_late_split": over(["delayed_access_log"], f"""
+        "stream_late_split": over(["rush_access_log"], f"""
             select ip, user_id, timestamp, method, url, event_id, arrival,
-                   coalesce((timestamp - timestamp % 5 + 660) * 1000 - 1 <= (seen - 1) * 1000, false) as late
-            from sliced join earlier using (slice) where {_PAGE}""", _LATE_SPLIT),
+                   coalesce((timestamp - timestamp % 5 + 660) * 1000 - 1 <= before, false) as late
+            from sliced join marks using (slice) where {_PAGE}""", _arrivals("rush_access_log", 1000)),
+        "stream_pv_per_record": over(ub, """
+            select 'pv' as url, window_end, row_number() over (partition by window_end) as count
+            from (select (timestamp // 3600)*3600000 + 3600000 as window_end from user_behavior where behavior='pv') v"""),
+        "stream_ad_blacklist_24h": over(days, "select user_id, ad_id, 'click over 50times.' as warning_msg "
+                                              "from numbered where nth = 51", _CAPPED_24H, recursive=True),
         "stream_uv_hll": sql()["uv_hll"],
         "stream_uv_bloom_running": sql()["uv_bloom_running"],
         "stream_ad_clicks_capped": sql()["ad_clicks_capped"],
@@ -447,16 +502,15 @@ def stream_sql() -> dict[str, str]:
         "stream_interval_join": sql()["pay_receipt_interval_join"],
         "stream_daily_documents": sql()["daily_documents"],
         "stream_ad_count_by_province": over(
-            ads, f"select province, {text_end('window_end')} as window_end, count from hot where " + closed("ad_click"),
-            _CAPPED + ",\nhot as (" + sliding("numbered", "province", 3600, 300, "nth <= 100") + ")"),
+            ["late_ad_click"], f"select province, {text_end('window_end')} as window_end, count from hot",
+            in_time("late_ad_click", "province", 3600, 300, "nth <= 100", steps=_CAPPED_ON_ARRIVAL, rows="numbered")),
         "stream_marketing_total": over(
-            mk, f"select 'total' as channel, 'total' as behavior, {text_end('window_end')} as window_end, count "
-                "from hot where " + closed("marketing"),
-            "hot as (" + sliding("marketing", "", 3600, 300, "behavior<>'UNINSTALL'") + ")"),
+            ["rush_marketing"],
+            f"select 'total' as channel, 'total' as behavior, {text_end('window_end')} as window_end, count from hot",
+            in_time("rush_marketing", "", 3600, 300, "behavior<>'UNINSTALL'")),
         "stream_marketing_by_channel": over(
-            mk, f"select channel, behavior, {text_end('window_end')} as window_end, count from hot where "
-                + closed("marketing"),
-            "hot as (" + sliding("marketing", "channel, behavior", 3600, 300, "behavior<>'UNINSTALL'") + ")"),
+            ["rush_marketing"], f"select channel, behavior, {text_end('window_end')} as window_end, count from hot",
+            in_time("rush_marketing", "channel, behavior", 3600, 300, "behavior<>'UNINSTALL'")),
         "stream_login_fail_window": over(["login"], f"""
             select w.user_id, anchor as first_fail_time, max(w.timestamp) as last_fail_time,
                    'login fail in 5s for '||count(*)||' times' as warning_msg

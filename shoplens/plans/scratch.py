@@ -1,34 +1,3 @@
-"""Folders for files that a query writes and reads back."""
+"""The package's scratch folders, by the name that plans use."""
 
-from __future__ import annotations
-
-import atexit
-import shutil
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``.
-
-    Where it is unset, a session whose executors are threads of the driver gets a
-    temporary folder, removed when Python ends.  On a cluster nothing is guessed:
-    executors and driver would see different local folders.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    own = tempfile.mkdtemp(prefix="shoplens-")
-    atexit.register(shutil.rmtree, own, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
-
-
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A name for a fresh folder below the shared one."""
-    return f"{shared_dir(spark)}/shoplens-{label}-{uuid.uuid4().hex}"
+from shoplens.scratch import scratch_dir, shared_dir, written  # noqa: F401

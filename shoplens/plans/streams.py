@@ -1,9 +1,10 @@
 """Registered streaming queries.
 
-The events of a query arrive in ``SLICES`` deliveries, cut by time (by arrival for the
-late split).  After each delivery the query is started from its checkpoint and drained,
-so results build up over several micro-batches and restarts; what the sink then holds
-is returned.  Windows still open at the last watermark stay open.
+The events of a query arrive in ``SLICES`` deliveries, cut by time; those of sliding windows
+and of late rows in ``ARRIVALS``, cut by the second they arrive in, which is up to two hours
+after their time.  After each delivery the query is started from its checkpoint and
+drained, so results build up over several micro-batches and restarts; what the sink then
+holds is returned.  Windows still open at the last watermark stay open.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from shoplens.sinks.documents import document_rows
 from shoplens.sources import tables
 from shoplens.sources.lines import with_event_time
 from shoplens.streaming import joins, processors, windows
+from shoplens.streaming.panes import retractions
 
 Sink = Callable[[DataFrame, str, str], StreamingQuery]
 
@@ -49,7 +51,7 @@ def _state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-SLICES = 3
+SLICES, ARRIVALS = 3, 5
 
 
 class Feed:
@@ -57,6 +59,7 @@ class Feed:
 
     def __init__(self, spark: SparkSession, *tables_: DataFrame, order: str = "timestamp") -> None:
         self.spark, self.tables, self.order = spark, tables_, order
+        self.slices = ARRIVALS if order == "arrival" else SLICES
         self.folders = [scratch_dir(spark, "feed") for _ in tables_]
         for rows, folder in zip(tables_, self.folders):  # a stream starts from a folder that is there
             rows.limit(0).write.parquet(folder)
@@ -70,7 +73,7 @@ class Feed:
         return [self.spark.readStream.schema(t.schema).parquet(f) for t, f in zip(self.tables, self.folders)]
 
     def deliver(self, number: int) -> None:
-        at = F.expr(f"(`{self.order}` - {self.first}) * {SLICES} DIV {self.span}")
+        at = F.expr(f"(`{self.order}` - {self.first}) * {self.slices} DIV {self.span}")
         for rows, folder in zip(self.tables, self.folders):
             rows.where(at == number).write.mode("append").parquet(folder)
 
@@ -82,7 +85,7 @@ class Feed:
 
 
 def _run(feed: Feed, start: Callable[[], StreamingQuery], close: bool = False) -> None:
-    deliveries = [lambda n=number: feed.deliver(n) for number in range(SLICES)]
+    deliveries = [lambda n=number: feed.deliver(n) for number in range(feed.slices)]
     for deliver in [*deliveries, feed.close] if close else deliveries:
         deliver()
         with _state_partitions(feed.spark):
@@ -105,48 +108,36 @@ def _timed(delay: str, *tables_: DataFrame, order: str = "timestamp") -> tuple[F
 
 
 def _query(source: Callable, operator: Callable[..., DataFrame], delay: str = "200 milliseconds",
-           sink: Sink = _append, keep: bool = False) -> Callable[[SparkSession, str], DataFrame]:
+           sink: Sink = _append, keep: bool = False, order: str = "timestamp") -> Callable[[SparkSession, str], DataFrame]:
     """A registered query: the operator on the stream of one event table."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        feed, (stream,) = _timed(delay, source(spark, sf))
+        feed, (stream,) = _timed(delay, source(spark, sf), order=order)
         return _drain(feed, operator(stream), sink, keep)
     return run
 
 
-def _top_n(spark, sf):
-    return _query(tables.user_behavior, windows.hot_item_counts,
-                  sink=lambda df, path, cp: sinks.top_n_sink(df, "item_id", path, cp, drain=True))(spark, sf)
+def _late_query(source: Callable, operator: Callable[..., DataFrame], delay: str = "200 milliseconds",
+                sink: Sink = _append, keep: bool = False, number: str = "event_id",
+                fast: int = 60) -> Callable[[SparkSession, str], DataFrame]:
+    """A registered query whose events come ``fast`` times as fast, and some late, up to hours."""
+    return _query(lambda spark, sf: tables.arriving(tables.rush(source(spark, sf), fast), number), operator, delay, sink, keep, "arrival")
 
 
-LOG_DELAY = "61 seconds"  # out-of-orderness and allowed lateness
+def _top_n(spark, sf):
+    return _late_query(tables.user_behavior, windows.hot_item_counts,
+                       sink=lambda df, path, cp: sinks.top_n_sink(df, "item_id", path, cp, drain=True))(spark, sf)
 
 
-def _page_versions(spark, sf):
-    panes = _query(tables.access_log, windows.hot_page_panes, LOG_DELAY, _upsert, keep=True)(spark, sf)
-    return sinks.window_versions(panes, ["url"], "10 minutes", "5 seconds")
+PAGE_DELAY, PAGES_FAST = "1 second", 240
 
 
 def _hot_pages(spark, sf):
-    return sinks.latest(_page_versions(spark, sf), ["window_end", "url"])
-
-
-def _hot_page_changes(spark, sf):
-    return sinks.changes(_page_versions(spark, sf), ["window_end", "url"]).drop("batch_id")
+    versions = _late_query(tables.access_log, windows.hot_page_versions, PAGE_DELAY, fast=PAGES_FAST)(spark, sf)
+    return versions.groupBy("url", "window_end").agg(F.max("count").alias("count"))  # counts only grow
 
 
-def _rank_changes(spark, sf):
-    """A3 on a stream: the ranks of each window as a retract stream."""
-    panes = _query(tables.user_behavior, windows.hot_item_panes, sink=_upsert, keep=True)(spark, sf)
-    versions = sinks.window_versions(panes, ["item_id"], "1 hour", "5 minutes")
-    ranked = sinks.ranked_versions(versions, "item_id").withColumnRenamed("rank", "row_num")
-    return sinks.changes(ranked, ["window_end", "row_num"], skip_equal=True).select(
-        "item_id", "window_end", F.col("count").alias("cnt"), "row_num", "added")
-
-
-def _running_uv(spark, sf):
-    state = scratch_dir(spark, "uv")
-    return _query(tables.user_behavior, windows.new_bits,
-                  sink=lambda df, path, cp: sinks.running_uv_sink(df, path, state, cp, drain=True))(spark, sf)
+def _hot_page_changes(stream):
+    return retractions(windows.hot_page_versions(stream), ["url"])
 
 
 def _uv_hll(spark, sf):
@@ -158,13 +149,17 @@ def _uv_hll(spark, sf):
 
 def _late(spark, sf):
     folder = scratch_dir(spark, "late")
-    feed, (stream,) = _timed(LOG_DELAY, tables.delayed_access_log(spark, sf), order="arrival")
+    log = tables.arriving(tables.rush(tables.access_log(spark, sf), PAGES_FAST), "event_id")
+    feed, (stream,) = _timed(PAGE_DELAY, log, order="arrival")
     _run(feed, lambda: sinks.late_split_sink(
-        stream, f"{folder}/on_time", f"{folder}/late", f"{folder}/state", f"{folder}/checkpoint", drain=True))
-    sides = [spark.read.parquet(f"{folder}/{side}").drop("batch_id", "ts") for side in ("on_time", "late")]
+        windows.marked_views(stream), f"{folder}/on_time", f"{folder}/late", f"{folder}/checkpoint", drain=True))
+    sides = [spark.read.parquet(f"{folder}/{side}").drop("batch_id") for side in ("on_time", "late")]
     return sides[0].withColumn("late", F.lit(False)).unionByName(sides[1].withColumn("late", F.lit(True)))
 
 
+DAY_CAP = 50  # clicks in a cycle of 24 hours; the clicks of two days reach it twice
+
+
 def _capped(stream):
     return processors.cap_clicks(stream, tables.CLICK_TIE)
 
@@ -175,7 +170,7 @@ def _capped_split(spark, sf):
     _run(feed, lambda: sinks.split_sink(
         _capped(clicks), {"pass": f"{folder}/passed", "warn": f"{folder}/warned"},
         f"{folder}/checkpoint", "kind", drain=True))
-    return spark.read.parquet(f"{folder}/passed").drop("batch_id", "ts")
+    return spark.read.parquet(f"{folder}/passed").drop("batch_id", "until")
 
 
 def _both(spark, sf):
@@ -210,24 +205,27 @@ def _daily(spark, sf):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ub, mk, clicks, orders = tables.user_behavior, tables.marketing, tables.ad_click, tables.order_event
     return {
-        "stream_hot_item_counts": _query(ub, windows.hot_item_counts),
+        "stream_hot_item_counts": _late_query(ub, windows.hot_item_counts),
         "stream_hot_items_top_n": _top_n,
-        "stream_hot_items_sql": _rank_changes,
+        "stream_hot_items_sql": _late_query(ub, lambda s: windows.hot_item_ranks(s, lateness="10 minutes")),
         "stream_hot_page_counts": _hot_pages,
         "stream_hot_pages_top_n": lambda s, d: hot.top_n(_hot_pages(s, d), "url"),
-        "stream_hot_page_changes": _hot_page_changes,
+        "stream_hot_page_changes": _late_query(tables.access_log, _hot_page_changes, PAGE_DELAY, fast=PAGES_FAST),
         "stream_late_split": _late,
         "stream_pv_tumbling": _query(ub, windows.pv_tumbling),
         "stream_pv_salted": _query(ub, windows.pv_salted),
         "stream_uv_exact": _query(ub, windows.uv_exact),
-        "stream_uv_bloom_running": _running_uv,
+        "stream_uv_bloom_running": _query(ub, windows.uv_running),
+        "stream_pv_per_record": _query(ub, windows.pv_per_record),
         "stream_uv_hll": _uv_hll,
-        "stream_marketing_total": _query(mk, windows.marketing_total),
-        "stream_marketing_by_channel": _query(mk, windows.marketing_by_channel),
+        "stream_marketing_total": _late_query(mk, windows.marketing_total),
+        "stream_marketing_by_channel": _late_query(mk, windows.marketing_by_channel),
         "stream_ad_clicks_capped": _capped_split,
         "stream_ad_blacklist": _query(clicks, lambda s: processors.click_warnings(_capped(s))),
-        "stream_ad_count_by_province": _query(
-            clicks, lambda s: windows.ad_count_by_province(_capped(s).where("kind = 'pass'"))),
+        "stream_ad_blacklist_24h": _query(tables.ad_click_days, lambda s: processors.click_warnings(
+            processors.cap_clicks(s, tables.CLICK_TIE, DAY_CAP, rolling=True), DAY_CAP)),
+        "stream_ad_count_by_province": _late_query(
+            clicks, lambda s: windows.ad_count_by_province(_capped(s).where("kind = 'pass'")), number="l_orderkey", fast=1),
         "stream_login_fail_window": _query(
             tables.login, lambda s: processors.login_fail_window(s, "seq"), "3 seconds"),
         "stream_login_fail_consecutive": _query(

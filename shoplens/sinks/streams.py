@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.operators import hot
-from shoplens.operators.ordered import running_count
-from shoplens.operators.windows import sliding_from_panes
 
 
 def console_sink(stream: DataFrame, label: str, mode: str = "append") -> StreamingQuery:
@@ -118,113 +116,16 @@ def changes(versions: DataFrame, keys: list[str], skip_equal: bool = False) -> D
     )
 
 
-def window_versions(panes: DataFrame, keys: list[str], size: str, slide: str) -> DataFrame:
-    """Versions of sliding windows from versions of their panes: keys, ``window_end``, ``count``, ``batch_id``.
-
-    What a batch added to a pane is added to the pane's windows; a window has a version
-    for each batch that changed it.
-    """
-    along = Window.partitionBy(*keys, "pane").orderBy("batch_id")
-    added = panes.select(*keys, "batch_id", F.col("pane").alias("_pane"),
-                         (F.col("count") - F.coalesce(F.lag("count").over(along), F.lit(0))).alias("_n"))
-    windows = sliding_from_panes(added.where("_n <> 0"), [*keys, "batch_id"], size, slide)
-    so_far = Window.partitionBy(*keys, "window_end").orderBy("batch_id")
-    return windows.withColumn("count", F.sum("count").over(so_far))
-
-
-def ranked_versions(versions: DataFrame, id_col: str, n: int = 5) -> DataFrame:
-    """The ``n`` largest counts of each window after each batch that changed it, with ``rank`` and ``batch_id``.
-
-    A version of an id holds until its next one; in between it takes part in the ranking
-    of every batch that changed the window.
-    """
-    along = Window.partitionBy("window_end", id_col).orderBy("batch_id")
-    held = versions.withColumn("_until", F.lead("batch_id").over(along))
-    batches = versions.groupBy("window_end").agg(F.collect_set("batch_id").alias("_batches"))  # of one window
-    rows = held.join(batches, "window_end").select(
-        "window_end", id_col, "count",
-        F.explode(F.filter("_batches", lambda b: (b >= F.col("batch_id")) & F.coalesce(b < F.col("_until"), F.lit(True))))
-        .alias("batch_id"))
-    rank = F.row_number().over(Window.partitionBy("window_end", "batch_id").orderBy(F.col("count").desc(), id_col))
-    return rows.withColumn("rank", rank.cast("int")).where(F.col("rank") <= n)
-
-
 def top_n_sink(counts: DataFrame, id_col: str, path: str, checkpoint: str, n: int = 5,
                drain: bool = False) -> StreamingQuery:
     """A2 on a stream: in append mode all counts of a window close in one micro-batch, which is ranked."""
     return append_sink(counts, path, checkpoint, drain, lambda df: hot.top_n(df, id_col, n))
 
 
-class _Carried:
-    """A small DataFrame handed from one micro-batch to the next, one folder per batch."""
-
-    def __init__(self, folder: str, schema: str) -> None:
-        self.folder, self.schema = folder, schema
-
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(f"{self.folder}/{batch_id - 1}")
-
-    def after(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.folder}/{batch_id}")
-
-
-def late_split_sink(log: DataFrame, on_time: str, late: str, state: str, checkpoint: str,
-                    delay_s: int = 1, lateness_s: int = 60, size_s: int = 600, slide_s: int = 5,
-                    drain: bool = False) -> StreamingQuery:
-    """A6 on a stream: page views to ``on_time`` or ``late``.
-
-    The watermark of a micro-batch comes from the batches before it; the largest
-    event time so far is carried along as one row.
-    """
-    carried = _Carried(state, "seen BIGINT")
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        held = df.persist()
-        try:
-            before = carried.before(spark, batch_id)
-            seen = before.agg(F.max("seen")).first()[0]
-            newest_end = F.col("timestamp") - F.pmod("timestamp", F.lit(slide_s)) + size_s
-            watermark = F.lit(None if seen is None else (seen - delay_s) * 1000).cast("bigint")
-            is_late = F.coalesce((newest_end + lateness_s) * 1000 - 1 <= watermark, F.lit(False))
-            views = hot.page_views(held)
-            write_batch(views.where(~is_late), batch_id, on_time)
-            write_batch(views.where(is_late), batch_id, late)
-            now = held.select(F.col("timestamp").alias("seen")).unionByName(before)
-            carried.after(now.agg(F.max("seen").alias("seen")), batch_id)
-        finally:
-            held.unpersist()
-    return _start(log, checkpoint, write, "append", drain)
-
-
-def running_uv_sink(bits: DataFrame, path: str, state: str, checkpoint: str, delay_ms: int = 200,
-                    size_ms: int = 3_600_000, drain: bool = False) -> StreamingQuery:
-    """A11, A12 on a stream: the running visitor count at every new bit of a window.
-
-    Counts per window are carried along.  ``delay_ms`` is the watermark delay of the stream:
-    a window is dropped from the carried table once the watermark, which is at least the
-    start of the newest window less the delay, has passed its end and no row can reach it.
-    """
-    carried = _Carried(state, "window_end BIGINT, total BIGINT")
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        held = df.persist()
-        try:
-            before = carried.before(df.sparkSession, batch_id)
-            numbered = running_count(held, ["window_end"], "bit", "nth")
-            running = numbered.join(before, "window_end", "left").select(
-                F.lit("uv").alias("url"), "window_end",
-                (F.col("nth") + F.coalesce("total", F.lit(0))).alias("count"))
-            write_batch(running, batch_id, path)
-            new = held.groupBy("window_end").agg(F.count("*").alias("total"))
-            totals = before.unionByName(new).groupBy("window_end").agg(F.sum("total").alias("total"))
-            newest = totals.agg(F.max("window_end")).first()[0]
-            carried.after(totals.where(F.col("window_end") > F.lit((newest or 0) - size_ms - delay_ms)), batch_id)
-        finally:
-            held.unpersist()
-    return _start(bits, checkpoint, write, "append", drain)
+def late_split_sink(marked: DataFrame, on_time: str, late: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
+    """A6 on a stream: rows with ``late`` to ``on_time`` or ``late``."""
+    side = marked.withColumn("_side", F.when(F.col("late"), "late").otherwise("on time")).drop("late")
+    return split_sink(side, {"on time": on_time, "late": late}, checkpoint, "_side", drain)
 
 
 def uv_from_sketches(sketches: DataFrame, per_window: bool = False) -> DataFrame:

@@ -72,6 +72,25 @@ def delayed_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return access_log(spark, sf_dir).withColumn("arrival", order)
 
 
+#: Seconds by which an event arrives late, by the last digit of its number; the others arrive in time.
+DELAYS = {1: 45, 3: 900, 7: 300, 9: 7200}
+RUSH_START = 1_704_067_200
+
+
+def arriving(rows: DataFrame, number: str) -> DataFrame:
+    """``rows`` with ``arrival``: the second in which they arrive."""
+    late = F.lit(0)
+    for digit, seconds in DELAYS.items():
+        late = F.when(F.col(number) % 10 == digit, seconds).otherwise(late)
+    return rows.withColumn("arrival", (F.col("timestamp") + late).cast("bigint"))
+
+
+def rush(rows: DataFrame, fast: int) -> DataFrame:
+    """``rows`` so many times as fast, so that windows hold more of them."""
+    passed = F.floor((F.col("timestamp") - RUSH_START) / fast).cast("bigint")
+    return rows.withColumn("timestamp", RUSH_START + passed)
+
+
 def marketing(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     events = load(spark, sf_dir, "events", streaming)
     kinds = {"view": "BROWSE", "click": "CLICK", "purchase": "DOWNLOAD", "signup": "INSTALL"}
@@ -105,6 +124,12 @@ def ad_click(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataF
     )
 
 
+def ad_click_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ad clicks over 47 hours, so that cycles of a day end within them."""
+    clock = (F.col("l_orderkey") * 1237 + F.col("l_linenumber") * 11003) % 169_200
+    return ad_click(spark, sf_dir).withColumn("timestamp", (F.lit(1704067200) + clock).cast("bigint"))
+
+
 CLICK_TIE = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
 
 

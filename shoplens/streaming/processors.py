@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -22,14 +23,16 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from shoplens import outcomes
 
-DAY_MS = 86_400_000
+DAY_S, DAY_MS = 86_400, 86_400_000
 
 
 class ClickCap(StatefulProcessor):
-    """Lets the first ``cap`` clicks of a key through and warns once.
+    """Lets the first ``cap`` clicks of a cycle through and warns once.
 
-    The key ends with the UTC day of the click, unless ``rolling`` asks for a
-    cycle of 24 hours of processing time from the first click.
+    The cycle is the UTC day of the click (part of the key), whose state is kept a day
+    longer for late clicks; or, if ``rolling``, the 24 hours from the first click of the key,
+    then from the first click after them.  Clicks count as they arrive, those of one
+    micro-batch in event-time order; a click of an earlier time counts in the running cycle.
     """
 
     def __init__(self, cap: int, tie: list[str], rolling: bool) -> None:
@@ -37,47 +40,102 @@ class ClickCap(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "n BIGINT, warned BOOLEAN")
+        self.seen = handle.getValueState("seen", "start BIGINT, n BIGINT, warned BOOLEAN")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = not self.seen.exists()
-        count, warned = (0, False) if first else self.seen.get()
+    def _day(self, rows, key, watermark: int) -> tuple[list[pd.DataFrame], tuple]:
+        ends = (int(key[2]) + 2) * DAY_MS
+        count, warned = (0, False) if not self.seen.exists() else self.seen.get()[1:]
         best = None  # the earliest rows still of interest, never more than cap + 1
         for chunk in rows:
             best = chunk if best is None else pd.concat([best, chunk], ignore_index=True)
             best = best.sort_values(["timestamp", *self.tie], kind="stable").head(self.cap - count + 1)
-        if first:
-            self.handle.registerTimer(
-                timerValues.getCurrentProcessingTimeInMs() + DAY_MS if self.rolling
-                else (int(key[2]) + 1) * DAY_MS)
+        if ends <= watermark:
+            return [], None
+        if not self.seen.exists():
+            self.handle.registerTimer(ends)
+        parts, state = self._cycle(best, count, warned)
+        return parts, (ends, *state)
+
+    def _cycle(self, rows: pd.DataFrame, count: int, warned: bool) -> tuple[list[pd.DataFrame], tuple[int, bool]]:
         room = self.cap - count
-        passed, beyond = best.head(room).assign(kind="pass"), best.iloc[room:room + 1].assign(kind="warn")
+        passed, beyond = rows.head(room).assign(kind="pass"), rows.iloc[room:room + 1].assign(kind="warn")
         parts = [passed] if len(passed) else []
         if len(beyond) and not warned:
             parts.append(beyond)
-        self.seen.update((count + len(passed), warned or len(beyond) > 0))
-        yield from parts
+        return parts, (count + len(passed), warned or len(beyond) > 0)
+
+    def _rolling(self, rows) -> tuple[list[pd.DataFrame], tuple]:
+        best = pd.concat(list(rows), ignore_index=True).sort_values(["timestamp", *self.tie], kind="stable")
+        start, count, warned = self.seen.get() if self.seen.exists() else (None, 0, False)
+        before, parts = start, []
+        while len(best):
+            if start is None or best["timestamp"].iloc[0] >= start + DAY_S:
+                start, count, warned = int(best["timestamp"].iloc[0]), 0, False
+            inside = best["timestamp"] < start + DAY_S
+            found, (count, warned) = self._cycle(best[inside], count, warned)
+            parts, best = parts + found, best[~inside]
+        if before != start:
+            if before is not None:
+                self.handle.deleteTimer((before + DAY_S) * 1000)
+            self.handle.registerTimer((start + DAY_S) * 1000)
+        return parts, (start, count, warned)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        parts, state = self._rolling(rows) if self.rolling else self._day(rows, key, watermark)
+        if state:
+            self.seen.update(state)
+        for part in parts:
+            until = pd.to_datetime(np.maximum(part["timestamp"] * 1000, watermark + 1), unit="ms", utc=True)
+            yield part.assign(until=until)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.seen.clear()
         return iter([])
 
 
+def _earliest(clicks: DataFrame, keys: list[str], tie: list[str], n: int) -> DataFrame:
+    """The ``n`` first clicks of each key in each task of each micro-batch; no later one can matter."""
+    def trim(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+
+        def first() -> pd.DataFrame:
+            rows = pd.concat(held, ignore_index=True).sort_values(["timestamp", *tie], kind="stable")
+            return rows.groupby(keys, dropna=False, sort=False).head(n)
+
+        for frame in frames:
+            held.append(frame)
+            size += len(frame)
+            if size > 200_000:
+                best = first()
+                held, size = [best], len(best)
+                if size > 100_000:  # many keys: the rows go on
+                    yield best
+                    held, size = [], 0
+        if held:
+            yield first()
+
+    return clicks.mapInPandas(trim, clicks.schema)
+
+
 def cap_clicks(clicks: DataFrame, tie: list[str], cap: int = 100, rolling: bool = False) -> DataFrame:
     """Clicks with ``kind``: pass, or warn for the one click that reports the user.
 
-    The ``rolling`` form sets processing-time timers, which keep a query running: stop it, do
-    not drain it.
+    A hot pair is trimmed in the tasks that read it: to cap + 1 clicks of a day, or of a
+    second in the ``rolling`` form.  The watermarked ``ts`` stops below the operator, so a
+    late click counts like any other.
     """
-    keyed = clicks.withColumn("_day", F.floor(F.col("timestamp") / 86400))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in clicks.schema.fields)
-    keys = ["user_id", "ad_id"] if rolling else ["user_id", "ad_id", "_day"]
+    day, pair = F.floor(F.col("timestamp") / DAY_S), ["user_id", "ad_id"]
+    plain = clicks.drop("ts")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
+    if rolling:
+        keyed, keys = _earliest(plain, [*pair, "timestamp"], tie, cap + 1), pair
+    else:
+        keyed, keys = _earliest(plain.withColumn("_day", day), [*pair, "_day"], tie, cap + 1), [*pair, "_day"]
+    # later windows need the event time of what comes out; it is never behind the watermark
     return keyed.groupBy(*keys).transformWithStateInPandas(
-        ClickCap(cap, tie, rolling), f"{fields}, kind STRING", "append",
-        "processingTime" if rolling else "eventTime",
-        # later windows need the event time, which only event-time mode may hand on
-        **({} if rolling else {"eventTimeColumnName": "ts"}),
-    )
+        ClickCap(cap, tie, rolling), f"{fields}, kind STRING, until TIMESTAMP", "append", "eventTime",
+        eventTimeColumnName="until")
 
 
 def click_warnings(capped: DataFrame, cap: int = 100) -> DataFrame:

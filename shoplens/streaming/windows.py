@@ -1,8 +1,9 @@
 """Streaming forms of the window counts.  Inputs carry a watermarked ``ts`` column.
 
-Plain DataFrame plans throughout: Spark keeps the state and drops it behind the
-watermark.  Append mode gives a window once, when it closes; update mode gives
-every change, for sinks that replace by key.
+Tumbling windows are plain DataFrame plans: Spark keeps the state and drops it behind the
+watermark.  Sliding windows and running counts keep theirs in ``panes.py``, which counts a
+late row in every window that is still open.  Append mode gives a window once, when it
+closes; update mode gives every change, for sinks that replace by key.
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.bitmap import bit_offset
 from shoplens.functions.dates import window_end_string
 from shoplens.functions.filters import constant_key, is_get, is_installed, is_page, is_page_view, salt
+from shoplens.streaming.panes import mark_late, rank_changes, running_views, running_visitors, sliding_counts
 
 
 def kept(df: DataFrame, condition: Column) -> DataFrame:
@@ -29,39 +30,41 @@ def _named(counts: DataFrame, keys: list[str], window: str = "window") -> DataFr
     return counts.select(*keys, F.unix_millis(f"{window}.end").alias("window_end"), "count")
 
 
-def pane_count(df: DataFrame, keys: list[str], slide: str) -> DataFrame:
-    """Counts for update mode, per slide-long pane: a row is in one pane, however many windows hold it.
+def tumbling_count(df: DataFrame, keys: list[str], size: str) -> DataFrame:
+    return _named(df.groupBy(*keys, F.window("ts", size)).count(), keys)
 
-    :func:`shoplens.sinks.streams.window_versions` makes windows of the panes behind the sink.
-    """
-    panes = df.groupBy(*keys, F.window("ts", slide)).count()
-    return panes.select(*keys, F.unix_seconds("window.start").alias("pane"), "count")
 
+def hot_item_counts(behavior: DataFrame, size: str = "1 hour", slide: str = "5 minutes",
+                    every_version: bool = False, lateness: str = "0 seconds") -> DataFrame:
+    """A1, append mode."""
+    return sliding_counts(kept(behavior, is_page_view()), ["item_id"], size, slide, lateness, every_version)
 
-def sliding_count_closed(df: DataFrame, keys: list[str], size: str, slide: str) -> DataFrame:
-    """Counts for append mode: rows are counted per pane, closed panes go to their windows."""
-    panes = df.groupBy(*keys, F.window("ts", slide).alias("pane")).agg(F.count("*").alias("n"))
-    whole = panes.groupBy(*keys, F.window(F.window_time("pane"), size, slide)).agg(F.sum("n").alias("count"))
-    return _named(whole, keys)
 
+def hot_page_versions(log: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
+                      lateness: str = "1 minute") -> DataFrame:
+    """A5, append mode: the counts of closed windows, and again whenever a late view corrects one, with the count before."""
+    return sliding_counts(kept(log, is_get() & is_page()), ["url"], size, slide, lateness, every_version=True)
 
-def tumbling_count(df: DataFrame, keys: list[str], size: str) -> DataFrame:
-    return _named(df.groupBy(*keys, F.window("ts", size)).count(), keys)
 
+def hot_item_ranks(behavior: DataFrame, size: str = "1 hour", slide: str = "5 minutes", n: int = 5,
+                   lateness: str = "0 seconds") -> DataFrame:
+    """A3, append mode: the ranks of each window as a retract stream."""
+    return rank_changes(hot_item_counts(behavior, size, slide, True, lateness), "item_id", n, lateness)
 
-def hot_item_counts(behavior: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
-    """A1, append mode."""
-    return sliding_count_closed(kept(behavior, is_page_view()), ["item_id"], size, slide)
+
+def marked_views(log: DataFrame, size: str = "10 minutes", slide: str = "5 seconds", lateness: str = "1 minute") -> DataFrame:
+    """A6, append mode: page views with ``late``, true where no window takes them any more."""
+    return mark_late(kept(log, is_get() & is_page()), size, slide, lateness)
 
 
-def hot_page_panes(log: DataFrame, slide: str = "5 seconds") -> DataFrame:
-    """A5, update mode.  The watermark delay of ``log`` is out-of-orderness plus allowed lateness."""
-    return pane_count(kept(log, is_get() & is_page()), ["url"], slide)
+def pv_per_record(behavior: DataFrame, size: str = "1 hour") -> DataFrame:
+    """A12, append mode: the running count of a window, one row for each view."""
+    return running_views(kept(behavior, is_page_view()), size)
 
 
-def hot_item_panes(behavior: DataFrame, slide: str = "5 minutes") -> DataFrame:
-    """A3, update mode."""
-    return pane_count(kept(behavior, is_page_view()), ["item_id"], slide)
+def uv_running(behavior: DataFrame, size: str = "1 hour", bits: int = 29, seed: int = 61) -> DataFrame:
+    """A11, append mode: the running visitor count of a window, one row for each new bit."""
+    return running_visitors(kept(behavior, is_page_view()), size, bits, seed)
 
 
 def pv_tumbling(behavior: DataFrame, size: str = "1 hour") -> DataFrame:
@@ -86,13 +89,6 @@ def uv_exact(behavior: DataFrame, size: str = "1 hour") -> DataFrame:
     return _named(counted, [], "w").select(constant_key("uv", "url"), "window_end", "count")
 
 
-def new_bits(behavior: DataFrame, size: str = "1 hour", bits: int = 29, seed: int = 61) -> DataFrame:
-    """First use of every visitor bit per window, the input of the running count."""
-    marked = kept(behavior, is_page_view()).select(
-        F.window("ts", size).alias("w"), bit_offset("user_id", bits, seed).alias("bit"))
-    return marked.dropDuplicates(["w", "bit"]).select(F.unix_millis("w.end").alias("window_end"), "bit")
-
-
 def uv_sketches(behavior: DataFrame, size: str = "1 hour", lg_k: int = 12) -> DataFrame:
     """A13, update mode: the current visitor sketch of each window; see ``uv_from_sketches``."""
     sketched = kept(behavior, is_page_view()).groupBy(F.window("ts", size)).agg(
@@ -102,18 +98,18 @@ def uv_sketches(behavior: DataFrame, size: str = "1 hour", lg_k: int = 12) -> Da
 
 def marketing_total(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
     """A14, append mode."""
-    counts = sliding_count_closed(kept(events, is_installed()), [], size, slide)
+    counts = sliding_counts(kept(events, is_installed()), [], size, slide)
     return counts.select(constant_key("total", "channel"), constant_key("total", "behavior"),
                          window_end_string("window_end").alias("window_end"), "count")
 
 
 def marketing_by_channel(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
     """A15, append mode."""
-    counts = sliding_count_closed(kept(events, is_installed()), ["channel", "behavior"], size, slide)
+    counts = sliding_counts(kept(events, is_installed()), ["channel", "behavior"], size, slide)
     return counts.select("channel", "behavior", window_end_string("window_end").alias("window_end"), "count")
 
 
 def ad_count_by_province(passed: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
     """A19, append mode, on the rows the click cap let through."""
-    counts = sliding_count_closed(passed, ["province"], size, slide)
+    counts = sliding_counts(passed, ["province"], size, slide)
     return counts.select("province", window_end_string("window_end").alias("window_end"), "count")

@@ -10,6 +10,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
         spark__ui__enabled="false",
+        spark__shoplens__statePartitions="2",
         spark__sql__streaming__noDataMicroBatches__enabled="true",
     )
     session.sparkContext.setLogLevel("ERROR")

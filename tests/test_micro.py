@@ -1,5 +1,7 @@
 """Hand-computed answers at the edges of every operator.  H is a full hour in seconds."""
 
+import random
+
 import pytest
 
 from shoplens import schemas
@@ -292,6 +294,45 @@ def test_many_equal_creates_are_all_reported(spark):
 # --- payments ----------------------------------------------------------------------------------
 
 
+def one_to_one(pays, receipts):
+    """The rules of J1-J3, row after row."""
+    pairs, left = set(), set()
+    for tx in {p[2] for p in pays} | {r[0] for r in receipts}:
+        rows = sorted([(p[3], False, p[0]) for p in pays if p[2] == tx] + [(r[2], True, r[1]) for r in receipts if r[0] == tx])
+        waiting = None
+        for row in [*rows, None]:
+            if waiting and row and waiting[1] != row[1] and row[0] <= waiting[0] + (3 if waiting[1] else 5):
+                pay, receipt = (waiting, row) if row[1] else (row, waiting)
+                pairs.add((pay[2], receipt[2]))
+                waiting = None
+                continue
+            if waiting:
+                left.add(waiting[2])
+            waiting = row
+    return pairs, left
+
+
+@pytest.mark.parametrize("slice_s", [10, 17, 600])
+def test_chains_of_payments_across_slices(spark, slice_s):
+    rng = random.Random(slice_s)
+    pays = [(n, "pay", f"t{rng.randrange(4)}", H + rng.randrange(200)) for n in range(160)]
+    receipts = [(f"t{rng.randrange(4)}", f"c{n}", H + rng.randrange(200)) for n in range(160)]
+    got = payments.pay_receipt_match(
+        spark.createDataFrame(pays, schemas.ORDER), spark.createDataFrame(receipts, schemas.RECEIPT), slice_s=slice_s)
+    pairs, left = one_to_one(pays, receipts)
+    assert {(r.order_id, r.pay_channel) for r in got.matched.collect()} == pairs
+    alone = [r.order_id for r in got.unmatched_pays.collect()] + [r.pay_channel for r in got.unmatched_receipts.collect()]
+    assert set(alone) == left and len(alone) == len(left)
+
+
+def test_payments_take_few_exchanges(spark):
+    pays = spark.createDataFrame([(1, "pay", "t", H)], schemas.ORDER)
+    receipts = spark.createDataFrame([("t", "c", H)], schemas.RECEIPT)
+    found = payments.pay_receipt_match(pays, receipts).unmatched_pays
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 4
+
+
 def test_payments_at_the_edges_of_the_interval(spark):
     pays = spark.createDataFrame(
         [(n, "pay", tx, H + 100) for n, tx in enumerate(["a", "b", "c", "d", "", None])], schemas.ORDER)

@@ -2,7 +2,6 @@
 
 import os
 import random
-import time
 
 import pytest
 
@@ -13,6 +12,7 @@ from shoplens.sinks.documents import document_rows
 from shoplens.sources import decode
 from shoplens.sources.lines import kafka_options, lines, multi_lines, register, with_event_time
 from shoplens.streaming import joins, processors, windows
+from shoplens.streaming.panes import retractions, sliding_counts
 from tests.test_micro import CONSECUTIVE, MONITORED, PAIRED, REPEATED, WINDOWED, H, table
 
 CLOSE = H + 30 * 86_400  # a last row this late closes everything before it
@@ -90,11 +90,29 @@ def test_windows_close_by_the_time_of_all_rows(spark, tmp_path):
 def test_running_visitors_over_batches(spark, tmp_path, behavior_batches):
     batch = spark.createDataFrame([r for b in behavior_batches for r in b], BEHAVIOR)
     stream = with_event_time(feed(spark, tmp_path / "in", behavior_batches, BEHAVIOR))
-    got = drain(spark, windows.new_bits(stream), tmp_path,
-                lambda df, path, **o: sinks.running_uv_sink(df, path, f"{tmp_path}/state", **o))
+    got = drain(spark, windows.uv_running(stream), tmp_path)
     assert table(got) == table(visits.uv_bloom_running(batch, "event_id"))
 
 
+def test_a_count_for_every_record(spark, tmp_path, behavior_batches):
+    batch = spark.createDataFrame([r for b in behavior_batches for r in b], BEHAVIOR)
+    stream = with_event_time(feed(spark, tmp_path / "in", behavior_batches, BEHAVIOR))
+    got = drain(spark, windows.pv_per_record(stream), tmp_path)
+    assert table(got) == table(visits.pv_per_record(batch, "event_id").drop("event_id"))
+
+
+def test_running_counts_end_with_their_window(spark, tmp_path):
+    view = lambda user, t, n: (user, 1, 0, "pv", H + t, n)
+    batches = [[view(1, 0, 0), view(2, 3599, 1), view(1, 5, 2)], [view(3, 3700, 3), view(2, 10, 4), view(4, 11, 5)],
+               [view(5, 12, 6), view(3, 3701, 7)]]  # the hour is over: user 5 is late
+    end = lambda hours: (H + 3600 * hours) * 1000
+    for k, (operator, label, want) in enumerate([
+            (windows.uv_running, "uv", [(end(1), 1), (end(1), 2), (end(1), 3), (end(2), 1)]),
+            (windows.pv_per_record, "pv", [(end(1), n) for n in range(1, 6)] + [(end(2), 1), (end(2), 2)])]):
+        stream = with_event_time(feed(spark, tmp_path / f"in{k}", batches, BEHAVIOR))
+        assert table(drain(spark, operator(stream), tmp_path / f"run{k}")) == [(label, *row) for row in want]
+
+
 def test_sketches_are_replaced_by_window(spark, tmp_path, behavior_batches):
     batch = spark.createDataFrame([r for b in behavior_batches for r in b], BEHAVIOR)
     stream = with_event_time(feed(spark, tmp_path / "in", behavior_batches, BEHAVIOR))
@@ -125,8 +143,8 @@ def test_late_split_uses_the_batches_before(spark, tmp_path):
     get = lambda t, n: ("i", "u", H + t, "GET", "/a", n)
     batches = [[get(0, 0), get(661, 1), get(0, 2)], [get(0, 3), get(4, 4), get(5, 5), get(700, 6)],
                [get(39, 7), get(40, 8), ("i", "u", H, "POST", "/a", 9)]]
-    stream = feed(spark, tmp_path / "in", batches, LOG)
-    query = sinks.late_split_sink(stream, f"{tmp_path}/ok", f"{tmp_path}/late", f"{tmp_path}/state",
+    stream = with_event_time(feed(spark, tmp_path / "in", batches, LOG), "1 second")
+    query = sinks.late_split_sink(windows.marked_views(stream), f"{tmp_path}/ok", f"{tmp_path}/late",
                                   f"{tmp_path}/checkpoint", drain=True)
     query.awaitTermination()
     assert table(spark.read.parquet(f"{tmp_path}/late").select("seq")) == [(3,), (4,), (7,)]
@@ -134,16 +152,80 @@ def test_late_split_uses_the_batches_before(spark, tmp_path):
 
 
 def test_corrected_counts_replace_and_retract(spark, tmp_path):
-    get = lambda t: ("i", "u", H + t, "GET", "/a", t)
-    stream = with_event_time(feed(spark, tmp_path / "in", [[get(0)], [get(30)], [get(1)]], LOG), "61 seconds")
-    panes = drain(spark, windows.hot_page_panes(stream), tmp_path, sinks.upsert_sink, keep=True)
-    versions = sinks.window_versions(panes, ["url"], "10 minutes", "5 seconds")
-    batch = spark.createDataFrame([get(0), get(30), get(1)], LOG)
-    keys = ["window_end", "url"]
-    assert table(sinks.latest(versions, keys).select("url", "window_end", "count")) == table(hot.hot_page_counts(batch))
-    story = sinks.changes(versions, keys).where(f"window_end = {(H + 60) * 1000}")
-    steps = [(r.batch_id, r.added, r["count"]) for r in story.orderBy("batch_id", "added").collect()]
-    assert steps == [(0, True, 1), (1, False, 1), (1, True, 2), (2, False, 2), (2, True, 3)]
+    get = lambda t, url="/a": ("i", "u", H + t, "GET", url, t)
+    # the second batch closes what ends by 640; the third corrects what ends after 580
+    batches = [[get(0), get(30)], [get(641, "/b")], [get(1), get(200, "/c")], [get(2000, "/b")]]
+    stream = with_event_time(feed(spark, tmp_path / "in", batches, LOG), "1 second")
+    versions = windows.hot_page_versions(stream)
+    got = drain(spark, versions, tmp_path, keep=True)
+    newest = got.groupBy("url", "window_end").agg({"count": "max"})
+    late = lambda t, url: [r for r in table(hot.hot_page_counts(spark.createDataFrame([get(t, url)], LOG))) if r[1] > (H + 580) * 1000]
+    want = {r[:2]: r[2] for r in table(hot.hot_page_counts(spark.createDataFrame([get(0), get(30)], LOG)))}
+    for url, end, n in [*late(1, "/a"), *late(200, "/c")]:
+        want[url, end] = want.get((url, end), 0) + n
+    open_ = (H + 1999) * 1000
+    on_time = {(r[0], r[1]): r[2] for r in table(newest) if r[0] != "/b"}
+    assert on_time == {key: n for key, n in want.items() if key[1] <= open_}
+    story = retractions(got, ["url"]).where(f"url = '/a' AND window_end = {(H + 600) * 1000}")
+    assert sorted((r.added, r["count"]) for r in story.collect()) == [(False, 2), (True, 2), (True, 3)]
+    untouched = got.where(f"url = '/a' AND window_end = {(H + 580) * 1000}")
+    assert [(r["count"], r.before) for r in untouched.collect()] == [(2, None)]
+
+
+def simulated(batches, size, slide, lateness, delay_ms):
+    """Versions of windows by the rules, one row and one window at a time: (key, end, count, before)."""
+    counts, given, out, seen = {}, {}, [], None
+
+    def close(mark):
+        for (key, end), n in sorted(counts.items()):
+            if (key, end) not in given and end * 1000 - 1 <= mark:
+                given[key, end] = n
+                out.append((key, end * 1000, n, None))
+
+    for rows in batches:
+        mark = 0 if seen is None else seen * 1000 - delay_ms
+        changed = set()
+        for key, at in rows:
+            for end in range(at // slide * slide + slide, at // slide * slide + size + 1, slide):
+                if (end + lateness) * 1000 - 1 > mark:
+                    counts[key, end] = counts.get((key, end), 0) + 1
+                    if end * 1000 - 1 <= mark:
+                        changed.add((key, end))
+        for key, end in changed:
+            out.append((key, end * 1000, counts[key, end], given.get((key, end))))
+            given[key, end] = counts[key, end]
+        seen = max([*(at for _, at in rows), *([] if seen is None else [seen])])
+        close(seen * 1000 - delay_ms)
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("lateness", [0, 40, 200])
+def test_late_rows_count_in_every_open_window(spark, tmp_path, lateness):
+    rng, batches = random.Random(lateness), []
+    for n in range(6):
+        rows = [(rng.randrange(3), H + n * 300 + rng.randrange(300)) for _ in range(15)]
+        rows += [(rng.randrange(4), H + n * 300 - rng.randrange(1, 500)) for _ in range(10)]  # late by up to all windows
+        batches.append(rows)
+    stream = with_event_time(feed(spark, tmp_path / "in", batches, "item BIGINT, timestamp BIGINT"), "5 seconds")
+    versions = sliding_counts(stream, ["item"], "120 seconds", "20 seconds", f"{lateness} seconds", every_version=True)
+    got = drain(spark, versions, tmp_path)
+    want = simulated(batches, 120, 20, lateness, 5000)
+    assert sorted([tuple(r) for r in got.select("item", "window_end", "count", "before").collect()], key=str) == want
+    assert lateness == 0 or any(r[3] for r in want)
+
+
+def test_ranks_change_with_late_rows(spark, tmp_path):
+    view = lambda item, t: (0, item, 0, "pv", H + t, t)
+    batches = [[view(1, 10), view(1, 20), view(2, 30)], [view(9, 4000)], [view(9, 4001)],
+               [view(2, 50), view(2, 60), view(3, 70)], [view(9, 90_000)]]
+    stream = with_event_time(feed(spark, tmp_path / "in", batches, BEHAVIOR))
+    got = drain(spark, windows.hot_item_ranks(stream, n=2, lateness="10 minutes"), tmp_path)
+    end = (H + 3600) * 1000  # closed in the third batch, corrected by the fourth
+    story = [(r.added, r.row_num, r.item_id, r.cnt) for r in got.where(f"window_end = {end}").collect()]
+    assert sorted(story) == sorted([(True, 1, 1, 2), (True, 2, 2, 1), (False, 1, 1, 2), (True, 1, 2, 3),
+                                    (False, 2, 2, 1), (True, 2, 1, 2)])
+    final = [(r.added, r.row_num, r.item_id, r.cnt) for r in got.where(f"window_end = {(H + 300) * 1000}").collect()]
+    assert sorted(final) == [(True, 1, 1, 2), (True, 2, 2, 1)]  # too long ago to be corrected
 
 
 # --- state machines ----------------------------------------------------------------------------
@@ -268,14 +350,20 @@ def test_click_cap_over_batches(spark, tmp_path):
 def test_click_cap_in_a_rolling_cycle(spark, tmp_path):
     batches = [[(1, 1, "p", "c", H + n * 40_000, n) for n in range(3)], [(1, 1, "p", "c", H, 7), (2, 1, "p", "c", H, 8)]]
     stream = with_event_time(feed(spark, tmp_path / "in", batches, CLICK))
-    # processing-time timers keep a query alive, so it is stopped rather than drained
-    query = processors.cap_clicks(stream, ["tie"], cap=2, rolling=True).writeStream.format("memory").queryName(
-        "rolling").option("checkpointLocation", f"{tmp_path}/checkpoint").start()
-    until = time.time() + 60
-    while spark.table("rolling").count() < 4 and time.time() < until:
-        time.sleep(0.5)
-    query.stop()
-    assert table(spark.table("rolling").select("tie", "kind")) == [(0, "pass"), (1, "pass"), (2, "warn"), (8, "pass")]
+    got = drain(spark, processors.cap_clicks(stream, ["tie"], cap=2, rolling=True), tmp_path)
+    assert table(got.select("tie", "kind")) == [(0, "pass"), (1, "pass"), (2, "warn"), (8, "pass")]
+
+
+def test_rolling_cycles_equal_batch(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(rng.randrange(3), rng.choice([1, 2]), "p", "c", H + rng.randrange(4 * 86_400), n) for n in range(400)]
+    batch = spark.createDataFrame(rows, CLICK)
+    passed, warned = ads.cap_clicks_from_first(batch, ["tie"], cap=15)
+    stream = with_event_time(feed(spark, tmp_path / "in", thirds(rows, 4), CLICK))
+    got = drain(spark, processors.cap_clicks(stream, ["tie"], cap=15, rolling=True), tmp_path)
+    assert table(got.where("kind = 'pass'").select("tie")) == table(passed.select("tie"))
+    pairs = table(got.where("kind = 'warn'").select("user_id", "ad_id"))
+    assert pairs == table(warned.select("user_id", "ad_id")) and len(pairs) > len(set(pairs))
 
 
 # --- joins, sinks, sources ---------------------------------------------------------------------

@@ -5,25 +5,32 @@
    revisits of it, without payload.  The digests' groups are counted before the
    shuffle; only digests that occur twice are joined back.
 2. Each task writes its records in the order of URL key and time, so the index of each
-   archive file is a locally sorted run.  Files are plain WARC, compressed as a whole.
-3. The archives are read by their record lengths; payloads are hashed again and must
-   match the headers.  The index runs are kept as a table in the shared folder.
+   archive file is a locally sorted run.  Every record is a gzip member of its own, so the
+   offset in the index is where a reader can begin.  A file ends with the first record
+   that takes it beyond ``FILE_BYTES``.  Files are written under another name and renamed,
+   and listed in a table that Spark commits; what a failed task left is in no list.
+3. The listed archives are read as streams, a record at a time; payloads are hashed again
+   and must match the headers.  The index runs are kept as a table in the shared folder.
 4. Runs are cut at the same quantiles of (URL key, time, page), and each range merges its
    parts of all runs with a loser tree.  A hot host or URL is cut like any other.
 
 Defined results: a null page is an empty payload; a null page id is always a response
 and comes first among equals; rows that repeat the smallest id are responses too; a
-null URL is empty; line ends in URLs are percent-encoded; no rows give no records.
+null URL is empty; line ends in URLs are percent-encoded; no rows give no records.  A
+page of any length is one record; a task holds one record at a time.  Pages with equal
+keys and times go by id.  Further columns are left out.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
-import io
+import uuid
+import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +38,7 @@ from shoplens.llm.common import keep
 from shoplens.plans.scratch import scratch_dir
 
 MIN_REVISIT = 100  # bytes
-FILE_RECORDS = 10_000  # of an archive file
+FILE_BYTES = 64 << 20  # compressed, of an archive file
 RANGE_ROWS = 20_000  # of an index range that one task merges
 _END = "\r\n\r\n"
 _FIRST_DAY = 1704067200  # capture times of pages without one count seconds from here, by id
@@ -85,32 +92,69 @@ def _record() -> Column:
         F.when(revisit, "").otherwise(F.col("payload")))
 
 
-def write_archives(spark: SparkSession, pages: DataFrame, folder: str, captured: Column | None = None) -> None:
-    """One or more archive files per task, each in the order of URL key, time and page."""
+def _store(folder: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri("file://" + folder[len("file:"):] if folder.startswith("file:/") and "://" not in folder else folder)
+
+
+def _member(record: bytes) -> bytes:
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return packer.compress(record) + packer.flush()
+
+
+def write_archives(spark: SparkSession, pages: DataFrame, folder: str, captured: Column | None = None,
+                   file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Archive files, each in the order of URL key, time and page -> their paths and sizes."""
     rows = with_types(spark, pages, captured).sortWithinPartitions("key", "second", "page_id")
-    (rows.select(_record().alias("value")).write.option("lineSep", _END).option("compression", "gzip")
-     .option("maxRecordsPerFile", FILE_RECORDS).text(folder))
 
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, path = _store(folder)
+        files.create_dir(path, recursive=True)
+        out, size, name = None, 0, ""
 
-def _records(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """Offset (uncompressed), headers and payload of the records of a file."""
-    with gzip.GzipFile(fileobj=io.BytesIO(content)) as file:
-        while True:
-            offset = file.tell()
-            version = file.readline()
-            if not version:
-                return
-            if version.rstrip() != b"WARC/1.0":
-                raise ValueError(f"no record begins at {offset}")
-            headers = {}
-            while (line := file.readline().rstrip(b"\r\n")):
-                name, _, value = line.decode("utf-8").partition(": ")
-                headers[name] = value
-            length = int(headers["Content-Length"])
-            payload = file.read(length)
-            if len(payload) != length or file.read(4) != b"\r\n\r\n":
-                raise ValueError(f"the record at {offset} has another length")
-            yield offset, headers, payload
+        def close() -> pa.RecordBatch:
+            out.close()
+            files.move(f"{path}/.{name}", f"{path}/{name}")
+            return pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([size])], names=["path", "size"])
+
+        for batch in batches:
+            for record in batch.column(0):
+                if out is None:
+                    name, size = f"{uuid.uuid4().hex}.warc.gz", 0
+                    out = files.open_output_stream(f"{path}/.{name}", compression=None)
+                packed = _member(record.as_buffer().to_pybytes())
+                out.write(packed)
+                size += len(packed)
+                if size > file_bytes:
+                    yield close()
+                    out = None
+        if out is not None:
+            yield close()
+
+    records = rows.select(F.concat(_record(), F.lit(_END)).cast("binary").alias("record"))
+    return keep(spark, records.mapInArrow(write, "path string, size long"), "archives")
+
+
+def _records(source: BinaryIO, chunk: int = 1 << 20) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """Offset of the member, headers and payload of each record of a file, one member in memory at a time."""
+    offset, rest = 0, b""
+    while rest or (rest := source.read(chunk)):
+        unpacker, parts, size = zlib.decompressobj(31), [], 0
+        while not unpacker.eof:
+            if not rest and not (rest := source.read(chunk)):
+                raise ValueError(f"the record at {offset} is cut off")
+            parts.append(unpacker.decompress(rest))
+            size += len(rest) - len(unpacker.unused_data)
+            rest = unpacker.unused_data
+        head, found, body = b"".join(parts).partition(b"\r\n\r\n")
+        version, *lines = head.decode("utf-8").split("\r\n")
+        if version != "WARC/1.0" or not found:
+            raise ValueError(f"no record begins at {offset}")
+        headers = dict(line.partition(": ")[::2] for line in lines)
+        length = int(headers["Content-Length"])
+        if len(body) != length + 4 or body[length:] != b"\r\n\r\n":
+            raise ValueError(f"the record at {offset} has another length")
+        yield offset, headers, body[:length]
+        offset += size
 
 
 def _page_of(name: str | None) -> int | None:
@@ -122,26 +166,34 @@ _RUNS = ("run string, position long, record_offset long, page_id long, url strin
          "refers_to long, payload_bytes long, payload_digest string")
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """The index of all archive files: a sorted run per file, with the place of each record in it."""
+def read_archives(archives: DataFrame) -> DataFrame:
+    """The index of the archive files of a list: a sorted run per file, with the place of each record in it."""
     names = [field.split()[0] for field in _RUNS.split(", ")]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _ARROW)], names=names)
+
         for batch in batches:
-            for run, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for run in batch.column(0).to_pylist():
+                files, path = _store(run)
                 rows = []
-                for position, (offset, headers, payload) in enumerate(_records(content.as_py())):
-                    digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
-                    kind, size = headers["WARC-Type"], int(headers["X-Payload-Length"])
-                    if kind == "response" and (hashlib.sha256(payload).hexdigest(), len(payload)) != (digest, size):
-                        raise ValueError(f"the payload at {offset} does not match its digest")
-                    rows.append((run, position, offset, _page_of(headers["WARC-Record-ID"]), headers["WARC-Target-URI"],
-                                 headers["WARC-Date"], kind, _page_of(headers.get("WARC-Refers-To")), size, digest))
+                with files.open_input_stream(path, compression=None) as source:
+                    for position, (offset, headers, payload) in enumerate(_records(source)):
+                        digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
+                        kind, size = headers["WARC-Type"], int(headers["X-Payload-Length"])
+                        if kind == "response" and (hashlib.sha256(payload).hexdigest(), len(payload)) != (digest, size):
+                            raise ValueError(f"the payload at {offset} does not match its digest")
+                        rows.append((run, position, offset, _page_of(headers["WARC-Record-ID"]), headers["WARC-Target-URI"],
+                                     headers["WARC-Date"], kind, _page_of(headers.get("WARC-Refers-To")), size, digest))
+                        if len(rows) == 5000:
+                            yield packed(rows)
+                            rows = []
                 if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*rows), _ARROW)], names=names)
+                    yield packed(rows)
 
-    files = spark.read.format("binaryFile").load(folder).select("path", "content")
+    # a file is a task's worth of work, its line in the list is not
+    files = archives.select("path").repartition(max(1, archives.count()), "path")
     return files.mapInArrow(parse, _RUNS).withColumn("key", url_key(F.col("url")))
 
 
@@ -211,5 +263,5 @@ def capture_histories(spark: SparkSession, pages: DataFrame, folder: str | None
                       captured: Column | None = None) -> DataFrame:
     """Writes the archives, reads them and merges their indexes."""
     folder = folder or scratch_dir(spark, "warc")
-    write_archives(spark, pages, folder, captured)
-    return merge_runs(keep(spark, read_archives(spark, folder), "runs"))
+    archives = write_archives(spark, pages, folder, captured)
+    return merge_runs(keep(spark, read_archives(archives), "runs"))

@@ -1,5 +1,7 @@
 import gzip
 import hashlib
+import io
+import os
 import random
 
 import pytest
@@ -40,15 +42,12 @@ def test_round_trip_and_revisits(spark):
     assert got == brute(rows)
 
 
-def test_histories_are_in_global_order(spark, monkeypatch):
-    monkeypatch.setattr(warc, "FILE_RECORDS", 17)
+def test_histories_are_in_global_order(spark):
     rng = random.Random(2)
     hosts = ["hot.com"] * 6 + ["b.a.net", "c.org"]
     rows = [(i, f"https://{rng.choice(hosts)}/{rng.randrange(4)}", f"body {i}") for i in rng.sample(range(1000), 400)]
-    runs = warc.read_archives  # runs are sorted by themselves
-    folder = warc.scratch_dir(spark, "t")
-    warc.write_archives(spark, pages(spark, rows).repartition(3), folder)
-    index = runs(spark, folder).cache()
+    archives = warc.write_archives(spark, pages(spark, rows).repartition(3), warc.scratch_dir(spark, "t"), file_bytes=3000)
+    index = warc.read_archives(archives).cache()  # runs are sorted by themselves
     per_run = {}
     for r in index.collect():
         per_run.setdefault(r.run, []).append((r.position, (r.key, r.captured, r.page_id)))
@@ -77,12 +76,38 @@ def test_loser_tree_sorts():
         assert merged == sorted(merged) and len(merged) == sum(map(len, runs))
 
 
+def test_files_are_bounded_by_bytes_and_offsets_open_records(spark):
+    rng = random.Random(4)
+    rows = [(i, f"http://h/{i}", rng.randbytes(rng.choice([10, 3000])).hex()) for i in range(120)]
+    archives = warc.write_archives(spark, pages(spark, rows).coalesce(2), warc.scratch_dir(spark, "t"), file_bytes=20_000)
+    sizes = {r.path: r.size for r in archives.collect()}
+    assert len(sizes) > 4 and max(sizes.values()) < 30_000
+    bodies = {page: html for page, _, html in rows}
+    for r in warc.read_archives(archives).collect():
+        with open(r.run.removeprefix("file://"), "rb") as file:
+            assert os.path.getsize(file.name) == sizes[r.run]
+            file.seek(r.record_offset)
+            _, headers, payload = next(warc._records(file))
+        assert payload.decode() == bodies[r.page_id] and headers["WARC-Target-URI"] == f"http://h/{r.page_id}"
+
+
+def test_records_are_read_in_pieces():
+    records = [b"WARC/1.0\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (n, b"x" * n) for n in (0, 1, 5000, 3)]
+    packed = [gzip.compress(r) for r in records]
+    for chunk in (1, 7, 1 << 20):
+        found = list(warc._records(io.BytesIO(b"".join(packed)), chunk))
+        assert [len(p) for _, _, p in found] == [0, 1, 5000, 3]
+        assert [at for at, _, _ in found] == [sum(map(len, packed[:k])) for k in range(4)]
+
+
 def test_damage_is_noticed():
     good = b"WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
-    assert [p for _, _, p in warc._records(gzip.compress(good * 2))] == [b"abc"] * 2
-    for bad in (b"WARC/1.0\r\nContent-Length: 4\r\n\r\nabc\r\n\r\n", b"junk" + good):
+    assert [p for _, _, p in warc._records(io.BytesIO(gzip.compress(good) * 2))] == [b"abc"] * 2
+    for bad in (b"WARC/1.0\r\nContent-Length: 4\r\n\r\nabc\r\n\r\n", b"junk" + good, good * 2):
         with pytest.raises(ValueError):
-            list(warc._records(gzip.compress(bad)))
+            list(warc._records(io.BytesIO(gzip.compress(bad))))
+    with pytest.raises(ValueError):
+        list(warc._records(io.BytesIO(gzip.compress(good)[:-3])))
 
 
 def test_no_pages(spark):

@@ -1,15 +1,18 @@
 """Quality rules as a short-circuit cascade.
 
 A rule rejects a document by its text.  Cost and selectivity of every rule are
-estimated on a sample of documents; the rules then run in the order of rejections
-per second, and the first that rejects a document ends its cascade.  The verdict is
-"no rule rejects", which does not depend on the order; the order only saves time.
+estimated on a sample of documents, the selectivity on what the rules before it leave;
+the rules then run in the order of rejections per second, and the first that rejects a
+document ends its cascade.  The verdict is "no rule rejects", which does not depend on
+the order; the order only saves time.
 
 The sample is the one bounded thing here (``SAMPLE_ROWS``); it sets the order and
 nothing else.  All rules see whole texts of all documents.
 
 Defined results: a null or empty text has no words and fails the base rules;
-repeated rows are judged alike; null ids stay; further columns are passed through.
+repeated rows are judged alike; null ids stay; further columns are passed through, but
+those named like ``ADDED`` are replaced.  A text of any length is judged whole, in one
+task.  An empty table gives no rows, and an order by name.
 """
 
 from __future__ import annotations
@@ -134,33 +137,54 @@ RULES: dict[str, Callable[[Text], bool]] = {
 
 
 def estimate(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Seconds and rejections of every rule, each run by itself on about ``rows`` random documents."""
+    """Of about ``rows`` random documents, what each rule says (``hits``, in the order of ``RULES``) and its seconds."""
     share = min(1.0, 1.2 * rows / max(docs.count(), 1))
     sample = docs.select(text_bytes().alias("raw")).sample(share, seed=3).limit(rows)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spent, rejected, seen = dict.fromkeys(RULES, 0.0), dict.fromkeys(RULES, 0), 0
-        for batch in batches:
+        for batch in pieces(batches):
+            hits, seconds = [], []
             for raw in binaries(batch.column(0)):
-                seen += 1
-                for name, rule in RULES.items():
+                said, spent = [], []
+                for rule in RULES.values():
                     fresh = Text(raw)
                     begin = time.perf_counter()
-                    hit = rule(fresh)
-                    spent[name] += time.perf_counter() - begin
-                    rejected[name] += hit
-        yield pa.RecordBatch.from_pydict({
-            "rule": list(RULES), "seconds": list(spent.values()),
-            "rejected": list(rejected.values()), "seen": [seen] * len(RULES)})
+                    said.append(bool(rule(fresh)))
+                    spent.append(time.perf_counter() - begin)
+                hits.append(said)
+                seconds.append(spent)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hits, pa.list_(pa.bool_())), pa.array(seconds, pa.list_(pa.float64()))], names=["hits", "seconds"])
+
+    return sample.mapInArrow(measure, "hits array<boolean>, seconds array<double>")
+
 
-    measured = sample.mapInArrow(measure, "rule string, seconds double, rejected long, seen long")
-    return measured.groupBy("rule").agg(*(F.sum(c).alias(c) for c in ("seconds", "rejected", "seen")))
+def by_rejections_per_second(hits: np.ndarray, seconds: np.ndarray) -> list[str]:
+    """The rules, best first; each is measured on what those before it leave, and names break ties."""
+    left, names, order = np.ones(len(hits), bool), list(RULES), []
+    cost = seconds.sum(0) / max(len(hits), 1)
+    while len(order) < len(names):
+        rest = [k for k, name in enumerate(names) if name not in order]
+        best = min(rest, key=lambda k: (-hits[left, k].sum() / max(cost[k], 1e-9), names[k]))
+        order.append(names[best])
+        left &= ~hits[:, best]
+    return order
 
 
 def plan(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[str]:
-    """The rules by rejections per second, best first; names break ties."""
-    measured = {r["rule"]: (r["rejected"] or 0) / max(r["seconds"] or 0.0, 1e-9) for r in estimate(docs, rows).collect()}
-    return sorted(RULES, key=lambda name: (-measured.get(name, 0.0), name))
+    """The order in which the cascade asks its rules."""
+    measured = estimate(docs, rows).collect()  # ``rows`` rows at most
+    shape = (len(measured), len(RULES))
+    return by_rejections_per_second(np.array([r.hits for r in measured], bool).reshape(shape),
+                                    np.array([r.seconds for r in measured], float).reshape(shape))
+
+
+def verdict(text: Text, rules: list[Callable[[Text], bool]]) -> tuple[bool, int]:
+    """Whether no rule rejects the text, and how many were asked: the first that rejects it ends the cascade."""
+    for number, rule in enumerate(rules, 1):
+        if rule(text):
+            return False, number
+    return True, len(rules)
 
 
 def cascade(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -173,16 +197,8 @@ def cascade(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = [RULES[name] for name in names]
         for batch in pieces(batches):
-            kept, ran = [], []
-            for raw in binaries(batch.column(1)):
-                text, verdict, count = Text(raw), True, 0
-                for rule in rules:
-                    count += 1
-                    if rule(text):
-                        verdict = False
-                        break
-                kept.append(verdict)
-                ran.append(count)
+            judged = [verdict(Text(raw), rules) for raw in binaries(batch.column(1))]
+            kept, ran = [k for k, _ in judged], [n for _, n in judged]
             yield pa.RecordBatch.from_arrays(
                 [*batch.column(0).flatten(), pa.array(kept, pa.bool_()), pa.array(ran, pa.int32())],
                 names=[*fields, *ADDED])
@@ -197,17 +213,17 @@ def accepted(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
 
 
 def report(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Per document the base counts, the base verdict and the verdict of the whole cascade."""
+    """Per document the base counts, the base verdict and the verdict of the cascade, which includes the base rules."""
     names = order or plan(docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rules = [(name in BASE_RULES, RULES[name]) for name in names]
+        rules = [RULES[name] for name in names]
         for batch in pieces(batches):
             rows = []
             for raw in binaries(batch.column(1)):
                 t = Text(raw)
-                base = any(rule(t) for rule in BASE_RULES.values())
-                kept = not base and not any(rule(t) for is_base, rule in rules if not is_base)
+                kept, _ = verdict(t, rules)  # before the counts: what it works out serves them too
+                base = not kept and any(rule(t) for rule in BASE_RULES.values())
                 rows.append((len(t.words), t.word_chars, t.symbols, t.lines[1], t.repeated, base, kept))
             columns = list(zip(*rows)) if rows else [[]] * 7
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2

@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+import numpy as np
+
 from shoplens.llm import quality
 from tests.llm.common import awkward, documents, empty
 
@@ -41,6 +43,30 @@ def test_rules_go_by_rejections_per_second(spark):
     assert sorted(quality.plan(docs)) == sorted(quality.RULES)
 
 
+def test_a_rule_is_measured_on_what_those_before_it_leave():
+    names = list(quality.RULES)
+    hits, seconds = np.zeros((10, len(names)), bool), np.ones((10, len(names)))
+    at = {name: k for k, name in enumerate(names)}
+    hits[:6, at["few_words"]] = True  # rejects most
+    hits[:5, at["repetitive"]] = True  # rejects many, all of them again
+    hits[8:, at["shouting"]] = True  # rejects few, but others
+    order = quality.by_rejections_per_second(hits, seconds)
+    assert order[:2] == ["few_words", "shouting"] and sorted(order) == sorted(names)
+    seconds[:, at["few_words"]] = 100
+    assert quality.by_rejections_per_second(hits, seconds)[:2] == ["repetitive", "shouting"]
+
+
+def test_the_report_asks_the_cascade(spark, monkeypatch):
+    text = quality.Text(b"#% word " * 100)
+    asked = []
+    rules = [lambda t, name=name: asked.append(name) or quality.RULES[name](t) for name in ("symbolic", "few_words")]
+    assert quality.verdict(text, rules) == (False, 1) and asked == ["symbolic"]
+    docs = documents(spark, ["#% word " * 100, " ".join(f"w{i}" for i in range(90))])
+    for order in (list(quality.RULES), list(quality.RULES)[::-1]):
+        assert sorted((r.doc_id, r.base_failed, r.kept) for r in quality.report(docs, order).collect()) == [
+            (0, True, False), (1, False, True)]
+
+
 def test_documents_keep_their_columns(spark):
     docs = awkward(spark)
     kept = quality.accepted(docs)

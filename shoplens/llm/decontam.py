@@ -15,7 +15,10 @@ The benchmark side is broadcast only where Spark finds it below its threshold.
 
 Defined results: a null text has no words; repeated rows, and rows that agree in id
 and text, get the same result; items without words do not occur; an item without an
-id marks words but is not counted; no documents give no rows.
+id marks words but is not counted; no documents give no rows.  A text of any length is
+searched whole; the steps for a text grow with its words times the square root of its
+known hashes at most.  Further columns of either table are left out, or passed through
+where documents are returned.
 """
 
 from __future__ import annotations
@@ -90,7 +93,10 @@ def _marks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, short: li
 
 def _around(words: str, n: int, part: int) -> str:
     """SQL for the windows of ``n`` words that hold a known hash of ``part`` words."""
-    hits = _let("gs", _grams(words, part), "filter(sequence(0, size(gs) - 1), i -> array_contains(fps, get(gs, i)))")
+    # the known hashes lie in about as many buckets as a bucket has hashes, so a look-up asks few of them
+    buckets = "transform(sequence(0, b - 1), k -> filter(fps, f -> pmod(f, b) = k))"
+    hits = _let("gs", _grams(words, part), _let("b", "greatest(cast(sqrt(size(fps)) as int), 1)", _let(
+        "bs", buckets, "filter(sequence(0, size(gs) - 1), i -> array_contains(get(bs, cast(pmod(get(gs, i), b) as int)), get(gs, i)))")))
     starts = (f"filter(array_distinct(flatten(transform({hits}, i -> sequence(greatest(i - {n - part}, 0), i)))), "
               f"s -> s <= size({words}) - {n})")
     spans = (f"transform({starts}, s -> named_struct("

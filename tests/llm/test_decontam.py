@@ -1,3 +1,4 @@
+import time
 import hashlib
 import random
 import re
@@ -79,3 +80,13 @@ def test_a_shared_span_shares_a_fingerprint(spark):
     for c in "ab":
         table = table.selectExpr("*", f"flatten(transform(array(split({c}, ' ')), ws -> {kept})) AS f{c}")
     assert table.where("NOT arrays_overlap(fa, fb)").count() == 0
+
+
+def test_a_long_text_copied_whole(spark):
+    words = [f"w{i}" for i in range(30_000)]
+    docs = documents(spark, [" ".join(words), " ".join(words[::-1])])
+    items = spark.createDataFrame([("a", " ".join(words[:15_000])), ("b", " ".join(words[15_000:]))], "item_id string, text string")
+    begin = time.time()
+    rows = {r.doc_id: (r.n_hit, r.n_items) for r in decontam.report(spark, docs, items).collect()}
+    assert rows == {0: (30_000, 2), 1: (0, 0)}
+    assert time.time() - begin < 60  # one look-up for each word among all its hashes takes minutes

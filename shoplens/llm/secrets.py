@@ -12,7 +12,8 @@ documents without a base span ordinary.  Counts of character pairs leave Spark,
 
 Defined results: a null or empty text has no span; offsets are code points; repeated
 rows are scanned alike; without any training rows the smoothed models are equal and
-add nothing; further columns are left out.
+add nothing; further columns are left out.  A text of any length is scanned whole, in
+one task; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TRAIN_DOCUMENTS = 2_000
-MIN_RUN = 20
+MIN_RUN = 12  # shorter runs of either kind can't be told apart
 BACK_OFF = 20.0  # pairs that the distribution of single characters counts for in each row
-THRESHOLD = 12.0  # natural log; a random run of 20 characters scores about 40
+THRESHOLD = 15.0  # natural log; a random run scores about 2 a character
 
 # Kinds in their order, with pattern and least length of what counts
 # (for assignments the value, else the match).

@@ -53,6 +53,43 @@ def test_models_tell_random_from_ordinary(spark, trained):
     assert len(hits - set(range(100))) <= 1
 
 
+def scored(text, model):
+    """The models' spans, in plain Python: runs at the threshold or above that touch no base span."""
+    size = len(secrets.ALPHABET) + 1
+    spans = [(m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    spans += [(m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    found = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
+        at = [secrets.ALPHABET.find(c) + 1 for c in m[0]]
+        score = sum(model[a * size + b] for a, b in zip(at, at[1:]))
+        if len(m[0]) >= 12 and score >= secrets.THRESHOLD and not any(a < m.end() and m.start() < b for a, b in spans):
+            found.append((m.start(), m.end()))
+    return found
+
+
+def test_spans_of_the_models_equal_brute_force(spark, trained):
+    rng = random.Random(3)
+    letters = secrets.ALPHABET + "  .é"
+    texts = ["".join(rng.choices(letters, k=200)) for _ in range(60)]
+    texts += ["the " + base64.b64encode(rng.randbytes(n)).decode() + " token=abcdefgh" for n in range(4, 30)]
+    rows = secrets.with_spans(spark, documents(spark, texts), trained).selectExpr(
+        "doc_id", f"transform(filter(spans, s -> s.kind = {len(secrets.KINDS)}), s -> struct(s.start, s.end)) AS added").collect()
+    got = {r.doc_id: sorted(tuple(x) for x in r.added) for r in rows}
+    want = {i: scored(text, trained) for i, text in enumerate(texts)}
+    assert got == want and sum(map(len, want.values())) > 50
+
+
+def test_short_random_runs_are_found(spark, trained):
+    rng = random.Random(9)
+    for length, least in ((12, 80), (16, 95)):
+        keys = ["".join(rng.choices(secrets.ALPHABET[:62], k=length)) for _ in range(100)]
+        rows = secrets.with_spans(spark, documents(spark, [f"see {key} there" for key in keys]), trained)
+        assert rows.where("size(spans) > 0").count() >= least
+    words = ["".join(rng.choices(["the", "er", "on", "tion", "ing", "ou", "heit", "st"], k=5)) for _ in range(400)]
+    assert secrets.with_spans(spark, documents(spark, words), trained).where("size(spans) > 0").count() <= 4
+
+
 def test_base_spans_stay(spark):
     docs = documents(spark, ["token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\" x", "plain words"] * 5)
     rows = {r.doc_id: r for r in secrets.scan(spark, docs).collect()}

@@ -470,6 +470,10 @@ def stream_sql() -> dict[str, str]:
     both_mark = f"(select least({mark('order_event', 300)}, {mark('receipt', 300)}))"
     days = ["ad_click_days"]
     result = {
+        "stream_lines_from_offset": over(ub, """
+            select user_id, item_id, category_id, behavior, timestamp
+            from user_behavior, (select min(timestamp) as low, max(timestamp) - min(timestamp) + 1 as span from user_behavior) ends
+            where (timestamp - low) * 3 // span >= 1"""),
         "stream_hot_item_counts": over(["rush_user_behavior"], "select * from hot", _RUSH_ITEMS),
         "stream_hot_items_top_n": over(["rush_user_behavior"], "select * from ranked", _RUSH_ITEMS + ",\n" + _ranked("item_id")),
         "stream_hot_page_counts": over(["rush_access_log"], "select * from hot", _RUSH_PAGES),
@@ -530,19 +534,6 @@ def stream_sql() -> dict[str, str]:
         "stream_order_pay_monitor": over(
             orders, "select order_id, result_state, is_timeout_side from decided "
                     f"where decided_at * 1000 <= {mark('order_event')}", _P3),
-        "stream_order_pay_monitor_join": over(orders, f"""
-            select order_id, case when waited >= 0 and waited < 900 then 'payed successfully'
-                        when waited = 900 then 'payed but already timeout' else 'timeout' end as result_state,
-                   not coalesce(waited >= 0 and waited < 900, false) as is_timeout_side
-            from (select c.order_id, c.timestamp as created, p.timestamp - c.timestamp as waited
-                  from order_event c left join order_event p on p.order_id = c.order_id and p.event_type = 'pay'
-                  where c.event_type = 'create') x
-            where waited >= 0 or (created + 900)*1000 <= {mark('order_event')}
-            union all
-            select p.order_id, 'payed but not found created log', true
-            from order_event p left join order_event c on c.order_id = p.order_id and c.event_type = 'create'
-            where p.event_type = 'pay' and (c.order_id is null or p.timestamp > c.timestamp + 900)
-              and p.timestamp*1000 <= {mark('order_event')}"""),
         "stream_order_pay_pattern": over(orders, f"""
             select order_id, case when paid then 'payId' else 'timeout'||(timestamp*1000 + 300000) end as result_state,
                    not paid as is_timeout_side
@@ -561,7 +552,6 @@ def stream_sql() -> dict[str, str]:
             where not exists (select 1 from pairs m where m.tx_id = r.tx_id)
               and (timestamp + 3)*1000 < {both_mark}""", _TX),
     }
-    result["stream_order_pay_pattern_join"] = result["stream_order_pay_pattern"]
     for name, count, label in [("pv_tumbling", "count(*)", "pv"), ("pv_salted", "count(*)", "pv"),
                                ("uv_exact", "count(distinct user_id)", "uv")]:
         result["stream_" + name] = over(

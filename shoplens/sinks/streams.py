@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from shoplens.operators import hot
 
@@ -37,6 +38,29 @@ def _complete(spark: SparkSession, folder: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+def batches(spark: SparkSession, path: str, name: str = "batch_id") -> list[int]:
+    """The micro-batches below ``path`` whose write has ended, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
+    numbers = sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{name}="))
+    return [n for n in numbers if _complete(spark, f"{path}/{name}={n}")]
+
+
+def published(spark: SparkSession, path: str, schema: str | StructType, fmt: str = "parquet", after: int = -1) -> DataFrame:
+    """What a sink has written, whole micro-batches only, with ``batch_id``.
+
+    A folder is read once its write has ended and left its marker, so a reader beside a running
+    stream, or after a crash, never sees half a micro-batch.
+    """
+    found = [f"{path}/batch_id={n}" for n in batches(spark, path) if n > after]
+    if not found:
+        return spark.createDataFrame([], schema).withColumn("batch_id", F.lit(0))
+    return spark.read.format(fmt).schema(schema).option("basePath", path).load(found)
+
+
 def write_batch(df: DataFrame, batch_id: int, path: str, partitions: tuple[str, ...] = (),
                 max_records: int = 0, fmt: str = "parquet") -> None:
     """Write one micro-batch into its own ``batch_id`` folder.
@@ -97,6 +121,29 @@ def latest(versions: DataFrame, keys: list[str]) -> DataFrame:
     return newest.select(*keys, "_row.*")
 
 
+def compact(spark: SparkSession, path: str, base: str, keys: list[str], schema: str | StructType) -> int:
+    """Folds what an upsert sink has written so far into one table below ``base``; the last micro-batch in it.
+
+    ``base`` holds a table for each call, named by that micro-batch; readers take the newest.
+    The sink goes on meanwhile, and its older folders may be removed afterwards.
+    """
+    done = batches(spark, path)
+    if done and done[-1] not in batches(spark, base, "upto"):
+        rows = current(spark, path, base, keys, schema)
+        rows.write.mode("overwrite").parquet(f"{base}/upto={done[-1]}")
+    return done[-1] if done else -1
+
+
+def current(spark: SparkSession, path: str, base: str, keys: list[str], schema: str | StructType) -> DataFrame:
+    """:func:`latest` of an upsert sink, from the newest compacted table and the micro-batches after it."""
+    upto = batches(spark, base, "upto")
+    newer = published(spark, path, schema, after=upto[-1] if upto else -1)
+    if upto:
+        older = spark.read.parquet(f"{base}/upto={upto[-1]}").withColumn("batch_id", F.lit(upto[-1]))
+        newer = older.unionByName(newer)
+    return latest(newer, keys)
+
+
 def changes(versions: DataFrame, keys: list[str], skip_equal: bool = False) -> DataFrame:
     """The versions as a retract stream: ``added`` false takes a row back, true puts one in.
 

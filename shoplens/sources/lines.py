@@ -1,7 +1,8 @@
 """Text-line sources (S1-S3), event time (S11) and view registration.
 
 One line is one event.  A location is a folder of text files, or a Kafka topic
-when ``servers`` is given; the same call serves batch and streaming.
+when ``servers`` is given; the same call serves batch and streaming.  Both kinds can be
+read from an offset; see ``linelog.py`` for those of files.
 """
 
 from __future__ import annotations
@@ -9,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.sources.linelog import LineLog
+
 
 def kafka_options(servers: str, topics: list[str], start: str = "latest",
                   streaming: bool = True, **extra: str) -> dict[str, str]:
@@ -43,6 +46,14 @@ def lines(spark: SparkSession, location: str | list[str], streaming: bool = Fals
     return reader.format("text").options(**options).load(first).select("value")
 
 
+def lines_from(spark: SparkSession, folder: str, start: str = "earliest", streaming: bool = False,
+               **options: str) -> DataFrame:
+    """Lines of a folder of text files as ``value STRING``, from ``earliest``, ``latest`` (streams) or offsets by file (JSON)."""
+    spark.dataSource.register(LineLog)
+    reader = _reader(spark, streaming).format("linelog").option("startingOffsets", start)
+    return reader.options(**options).load(folder).select("value")
+
+
 def multi_lines(spark: SparkSession, topics: dict[str, str] | list[str], streaming: bool = False,
                 servers: str | None = None, start: str = "latest",
                 **options: str) -> dict[str, DataFrame]:

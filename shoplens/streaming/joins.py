@@ -1,4 +1,4 @@
-"""Streaming joins: payments with receipts (J1-J4), orders with their payment.
+"""Streaming joins: payments with receipts.
 
 Both inputs carry a watermarked ``ts``; the interval bounds the join state.
 """
@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens import outcomes
 from shoplens.functions.filters import has_transaction
 from shoplens.streaming import processors
 from shoplens.streaming.windows import kept
@@ -59,42 +58,3 @@ def reconcile(pays: DataFrame, receipts: DataFrame, before_s: int = 3, after_s:
     return matched.select(*columns).unionByName(alone.select(
         F.when(F.col("is_receipt"), "unmatched-receipt").otherwise("unmatched-pay").alias("outcome"), "tx_id", "order_id",
         "event_type", at(False).alias("order_time"), "pay_channel", at(True).alias("receipt_time")))
-
-
-def _order_sides(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    side = lambda kind, name, ts: kept(orders, F.col("event_type") == kind).select(
-        F.col("order_id").alias(name), F.col("timestamp").alias(f"{kind}_time"), F.col("ts").alias(ts))
-    return side("create", "order_id", "create_ts"), side("pay", "paid_id", "pay_ts")
-
-
-def order_pay_monitor(orders: DataFrame, timeout_s: int = 900) -> DataFrame:
-    """P3 as an outer join, without Python, for orders with one create and one pay.
-
-    A pay at the very deadline meets a create that still waits and is late; one
-    after it finds nothing, like the create it belongs to.
-    """
-    creates, pays = _order_sides(orders)
-    on = F.expr(f"""order_id = paid_id AND pay_ts >= create_ts
-        AND pay_ts <= create_ts + INTERVAL {int(timeout_s)} SECONDS""")
-    waited = F.col("pay_time") - F.col("create_time")
-    state = (
-        F.when(waited < timeout_s, outcomes.PAID)
-        .when(waited == timeout_s, outcomes.PAID_LATE)
-        .when(F.col("create_ts").isNull(), outcomes.NO_CREATE)
-        .otherwise(outcomes.TIMEOUT)
-    )
-    return creates.join(pays, on, "full_outer").select(
-        F.coalesce("order_id", "paid_id").alias("order_id"), state.alias("result_state"),
-        (state != outcomes.PAID).alias("is_timeout_side"))
-
-
-def order_pay_pattern(orders: DataFrame, within_s: int = 300) -> DataFrame:
-    """P4, P5 as an outer join, for orders with one create and one pay."""
-    creates, pays = _order_sides(orders)
-    on = F.expr(f"""order_id = paid_id AND pay_ts >= create_ts
-        AND pay_ts < create_ts + INTERVAL {int(within_s)} SECONDS""")
-    limit = ((F.col("create_time") + within_s) * 1000).cast("string")
-    late = F.col("pay_ts").isNull()
-    state = F.when(late, F.concat(F.lit(outcomes.TIMEOUT), limit)).otherwise(outcomes.PAIRED)
-    return creates.join(pays, on, "left_outer").select(
-        "order_id", state.alias("result_state"), late.alias("is_timeout_side"))

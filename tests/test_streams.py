@@ -260,10 +260,9 @@ def order_batches(texts):
     return thirds(rows, 3) + [[(999, "create", "", CLOSE)]]
 
 
-@pytest.mark.parametrize("form", [processors, joins])
-def test_order_monitor(spark, tmp_path, form):
+def test_order_monitor(spark, tmp_path):
     stream = with_event_time(feed(spark, tmp_path / "in", order_batches(MONITORED), schemas.ORDER), "2 seconds")
-    got = drain(spark, form.order_pay_monitor(stream), tmp_path)
+    got = drain(spark, processors.order_pay_monitor(stream), tmp_path)
     assert table(got) == [(order, state, state != "payed successfully")
                           for order, want in enumerate(MONITORED.values()) for state in want]
 
@@ -315,15 +314,6 @@ def test_order_pattern(spark, tmp_path):
     assert table(got) == sorted(want)
 
 
-def test_order_pattern_as_a_join(spark, tmp_path):
-    texts = {k: v for k, v in PAIRED.items() if k.count("c") == 1 and k.count("p") == 1}
-    stream = with_event_time(feed(spark, tmp_path / "in", order_batches(texts), schemas.ORDER), "2 seconds")
-    want = []
-    for order, (paid, late) in enumerate(texts.values()):
-        want += [(order, "payId", False)] * paid + [(order, f"timeout{(H + t) * 1000}", True) for t in late]
-    assert table(drain(spark, joins.order_pay_pattern(stream), tmp_path)) == sorted(want)
-
-
 CLICK = schemas.AD_CLICK + ", tie BIGINT"
 
 
@@ -366,6 +356,39 @@ def test_rolling_cycles_equal_batch(spark, tmp_path):
     assert pairs == table(warned.select("user_id", "ad_id")) and len(pairs) > len(set(pairs))
 
 
+def test_readers_see_whole_micro_batches(spark, tmp_path):
+    path = str(tmp_path / "out")
+    schema = "k BIGINT, day STRING"
+    assert sinks.published(spark, path, schema).count() == 0
+    sinks.write_batch(spark.createDataFrame([(1, "a"), (2, "b")], schema), 0, path, ("day",))
+    # a crash between the files of a micro-batch and its marker
+    sinks.write_batch(spark.createDataFrame([(3, "a"), (4, "c")], schema), 1, path, ("day",))
+    os.remove(f"{path}/batch_id=1/_SUCCESS")
+    assert sinks.batches(spark, path) == [0]
+    assert table(sinks.published(spark, path, schema).select("k")) == [(1,), (2,)]
+    # the micro-batch is run again
+    sinks.write_batch(spark.createDataFrame([(3, "a"), (4, "c")], schema), 1, path, ("day",))
+    seen = sinks.published(spark, path, schema)
+    assert table(seen.select("k", "day", "batch_id")) == [(1, "a", 0), (2, "b", 0), (3, "a", 1), (4, "c", 1)]
+    assert table(sinks.published(spark, path, schema, after=0).select("k")) == [(3,), (4,)]
+
+
+def test_compacted_versions_give_the_latest_rows(spark, tmp_path):
+    path, base, schema = f"{tmp_path}/out", f"{tmp_path}/base", "k BIGINT, v BIGINT"
+    now = {}
+    for n in range(6):
+        rows = {k: 10 * n + k for k in range(n % 3, 6)}
+        now.update(rows)
+        sinks.write_batch(spark.createDataFrame(list(rows.items()), schema), n, path)
+        if n in (2, 4):
+            assert sinks.compact(spark, path, base, ["k"], schema) == n
+            assert sinks.compact(spark, path, base, ["k"], schema) == n  # nothing new
+        assert table(sinks.current(spark, path, base, ["k"], schema)) == sorted(now.items())
+    assert sinks.batches(spark, base, "upto") == [2, 4]
+    # only the micro-batch after the newest base is read again
+    assert sinks.published(spark, path, schema, after=4).select("batch_id").distinct().count() == 1
+
+
 # --- joins, sinks, sources ---------------------------------------------------------------------
 
 

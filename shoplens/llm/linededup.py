@@ -15,7 +15,10 @@ are never dropped.  ``keep_first`` spares the first occurrence (smallest id, the
 hash of the document, then line); without it a frequent key loses all its lines.
 
 Defined results: a null or empty text is one empty line; rows that agree in id and
-text count as so many documents and get the same result; null ids are allowed.
+text count as so many documents and get the same result; null ids are allowed.  Texts and
+lines of any length are taken whole; a text is held by one task.  An empty table gives no
+rows.  Columns named like ``ADDED`` are replaced, others passed through.  Only documents
+that may lose a line are shuffled.
 """
 
 from __future__ import annotations
@@ -170,13 +173,41 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, min_documents: int = MIN
         F.array_distinct(F.flatten(F.collect_list(lines))).alias("gone"))
 
 
+def _parted(spark: SparkSession, keyed: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents that may lose a line, which have to meet their line numbers, and those that surely do not.
+
+    One bit for each hash of a document that does, in a bitmap of 16 bits for each of them, at
+    most ``MAX_BITS``; a bit that others share only sends a document the longer way.
+    """
+    bits = 1 << min(MAX_BITS.bit_length() - 1, max(15, (16 * gone.count()).bit_length()))
+    place = F.pmod("_k1", F.lit(bits)) + 1  # the functions count from 1
+    parts = gone.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    shared = spark.sparkContext.broadcast({r.bucket: bytes(r.bits) for r in parts.collect()})  # bits / 8 bytes at most
+
+    def held(wanted: bool):
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = np.zeros(bits, bool)
+            for bucket, part in shared.value.items():  # buckets count from 1, and hold 2**15 bits each
+                found[(bucket - 1) << 15:bucket << 15] = np.unpackbits(np.frombuffer(part, np.uint8), bitorder="little")
+            for batch in batches:
+                hit = found[batch.column(0).to_numpy() % bits] == wanted
+                yield batch.filter(pa.array(hit))
+
+        return keyed.mapInArrow(look, keyed.schema)
+
+    return held(True), held(False)
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, min_documents: int = MIN_DOCUMENTS,
                 keep_first: bool = False, bits: int | None = None) -> DataFrame:
     """The documents with the lines that stay in ``text``, and the columns ``ADDED``, which replace ones of that name."""
-    gone = dropped_lines(spark, docs, min_documents, keep_first, bits)
+    gone = keep(spark, dropped_lines(spark, docs, min_documents, keep_first, bits), "gone")
     inputs = own_columns(docs, ADDED)
     keyed = docs.select(*row_key(), F.struct(*inputs).alias("_row"))
-    joined = keyed.join(gone, KEY, "left").select("_row", "gone")
+    maybe, untouched = _parted(spark, keyed, gone)
+    joined = maybe.join(gone, KEY, "left").select("_row", "gone").unionByName(
+        untouched.select("_row", F.lit(None).cast("array<int>").alias("gone")))
     names = [f.name for f in keyed.schema["_row"].dataType.fields]
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

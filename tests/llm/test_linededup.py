@@ -55,3 +55,16 @@ def test_filter_size_follows_the_documents():
     assert linededup.filter_bits(0) == 1 << 20
     assert linededup.filter_bits(1 << 14) == 1 << 21
     assert linededup.filter_bits(10 ** 12) == linededup.MAX_BITS
+
+
+def test_only_documents_that_may_lose_a_line_are_shuffled(spark):
+    texts = [f"own {i}" for i in range(2000)] + [f"shared line\nother {i}" for i in range(30)]
+    docs = documents(spark, texts)
+    gone = linededup.keep(spark, linededup.dropped_lines(spark, docs), "gone")
+    keyed = docs.select(*linededup.row_key(), "doc_id")
+    maybe, untouched = linededup._parted(spark, keyed, gone)
+    sent, passed = ({r.doc_id for r in part.collect()} for part in (maybe, untouched))
+    assert sent | passed == set(range(2030)) and not sent & passed
+    assert set(range(2000, 2030)) <= sent and len(sent) < 100
+    got = {r.doc_id: (r.text, r._n_lines, r._n_dropped) for r in linededup.dedup_lines(spark, docs).collect()}
+    assert got == {i: (t if i < 2000 else t.split("\n")[1], 1 if i < 2000 else 2, int(i >= 2000)) for i, t in enumerate(texts)}

@@ -135,6 +135,43 @@ SELECT d.doc_id, count(line)::BIGINT AS n_matches,
 FROM documents d LEFT JOIN best ON best.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 
+def _vector_codes() -> str:
+    """Two rounds over the parts of all vectors, one joined row per part and entry."""
+    def assigned(n: int) -> str:
+        return f"""assigned{n} AS (
+  SELECT r, x.p, min({{'d': list_sum(list_transform(list_zip(x.x, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': c.e}}) AS best
+  FROM parts x JOIN book{n} c ON c.p = x.p GROUP BY r, x.p)"""
+
+    def book(n: int) -> str:
+        return f"""sums{n} AS (
+  SELECT a.p, a.best.e AS e, place, sum(v)::BIGINT AS s, count(*) AS n
+  FROM assigned{n} a JOIN components v ON v.r = a.r AND v.p = a.p GROUP BY a.p, a.best.e, place
+), moved{n} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY place) AS c FROM sums{n} GROUP BY p, e
+), book{n + 1} AS (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{n} b LEFT JOIN moved{n} m ON m.p = b.p AND m.e = b.e)"""
+
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, embedding FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), shape AS (SELECT (len(embedding) + 15) // 16 AS d FROM kept WHERE r = 1
+), components AS (
+  SELECT r, vec_id, i // d AS p, i % d AS place, v
+  FROM (SELECT r, vec_id, unnest(range(len(embedding))) AS i, floor(256 * unnest(embedding)::DOUBLE)::BIGINT AS v FROM kept) u, shape
+), parts AS (SELECT r, vec_id, p, list(v ORDER BY place) AS x FROM components GROUP BY r, vec_id, p
+), book0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c
+  FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)
+), {assigned(0)}, {book(0)}, {assigned(1)}, {book(1)}, {assigned(2)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM assigned2 GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(v, ',' ORDER BY p, e, place)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(c)::VARCHAR AS v, unnest(range(len(c))) AS place FROM book2) b
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (r), digest"""
+
+
 def sql() -> dict[str, str]:
     return {"op1_warc_index_merge": WARC, "op3_quality_rules": QUALITY_RULES, "op4_line_dedup": LINE_DEDUP, "op6_decontamination": DECONTAMINATION,
-            "op8_license_scan": _license_scan(), "op10_chat_formatting": CHAT_FORMATTING}
+            "op8_license_scan": _license_scan(), "op10_chat_formatting": CHAT_FORMATTING, "op13_vector_codes": _vector_codes()}

@@ -24,4 +24,4 @@ def test_query_equals_its_sql(spark, db, name):
 
 def test_every_sql_has_a_query():
     assert set(oracles.sql()) <= set(registry.queries())
-    assert {name.split("_")[0] for name in registry.queries() if name != "pipeline"} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in registry.queries() if name != "pipeline"} == {f"op{n}" for n in range(1, 14)}

@@ -14,9 +14,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from shoplens.operators import visits  # noqa: E402
 from shoplens.plans import streams  # noqa: E402
 from shoplens.plans.queries import queries  # noqa: E402
 from shoplens.session import build_session  # noqa: E402
+from shoplens.sources import tables  # noqa: E402
 
 HEADLINE = [
     "hot_item_counts", "hot_items_top_n", "hot_items_sql", "hot_page_counts", "hot_pages_top_n", "late_page_views",
@@ -39,6 +41,8 @@ def main() -> None:
                           spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     registered, seconds = {**queries(), **streams.queries()}, {}
+    # the registered query sets the estimates beside exact counts; timed is the sketch
+    registered["uv_hll"] = lambda session, sf: visits.uv_hll(tables.user_behavior(session, sf))
     for name in names:
         runs = []
         for _ in range(1 if name.startswith("stream_") else 4):

@@ -15,8 +15,8 @@ A conversation is one string and so one row: its turns meet in one task by natur
 
 Defined results: a null text or role is empty; turns with equal numbers go by role,
 then text, null numbers first; rows without a conversation id form one conversation;
-repeated rows are turns of their own; no rows give no conversations; further columns
-are left out.
+repeated rows are turns of their own; no rows give no conversations; texts of any length
+are taken whole; further columns are left out.
 """
 
 from __future__ import annotations

@@ -9,7 +9,10 @@ Of several templates at or above the threshold the closest counts, ties by name.
 
 Defined results: a null or empty text, and a line of one word, hold no notice; a notice
 that occurs again is listed once and counted each time; a text of one line is compared
-once; null ids, repeated rows and further columns do no harm.
+once; null ids, repeated rows and further columns do no harm.  An empty table gives no
+rows.  A text of any length is compared whole, in one task; the time for one that holds
+most of a full licence text, but broken in many places, grows with the breaks times the
+template's length.
 
 Windows of words, for :func:`scan_anywhere`: any run of the text's words, across line ends, of at
 most (2 - t) / t times the template's length, with the Dice test on its different bigrams.  A

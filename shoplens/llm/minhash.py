@@ -23,7 +23,9 @@ holds for any input; a coarser order costs time, not links.
 Defined results: the class of a document is the smallest id in it (null where no
 document of the class has one).  Texts without a word are alike only if they agree
 without white space at the ends; null counts as empty.  Texts of one to four words have
-one shingle.  Repeated rows are in one class.
+one shingle.  Repeated rows are in one class.  Texts of any length are compared whole; two
+of them are in one task when their pair is verified.  An empty table gives no rows.
+Further columns are left out, or passed through where documents are returned.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ Defined results: a null or empty text has no tokens; edits are applied by ``seq`
 start, end and text, positions in the text as it then is and cut to its ends; an end
 before the start counts as the start; a null replacement is empty; edits without a
 document id, or with one that no document has, do nothing; of rows that repeat an id the
-one with the largest text is edited.  Special token strings are ordinary text.
+one with the largest text is edited.  Special token strings are ordinary text.  A text of
+any length is counted whole; with its edits, in order, it is one task's by nature.  No
+documents give no rows.  Further columns of documents and edits are left out.
 """
 
 from __future__ import annotations

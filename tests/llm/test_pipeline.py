@@ -72,3 +72,30 @@ def test_no_documents(spark, tmp_path):
 def test_on_the_smallest_tables(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert 0 < len({r.doc_id for r in rows}) <= 200
+
+
+def test_every_stage_takes_awkward_rows(spark, tmp_path):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    texts = [None, "", " \n ", "one", "same line\nother", "same line\nother", long, "é\n\n\t \nÉ", None]
+    ids = [1, 2, None, 3, 4, 4, 5, 6, None]
+    schema = FIELDS + ", _k1 string, words int, gone string"
+    docs = spark.createDataFrame([(i, t, "en", None, 0, "k", 1, "g") for i, t in zip(ids, texts)], schema)
+    spark.createDataFrame([(1, "one"), (2, None), (None, "other")], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    left = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns
+        left[name] = sorted((r.doc_id if r.doc_id is not None else -1) for r in out.collect())
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    assert left["quality_rules"] == [5]
+    assert left["line_dedup"] == [-1, -1, 1, 2, 3, 4, 4, 5, 6]
+    assert left["minhash_near_dedup"] == [1, 3, 4, 5, 6]  # texts without a word are one class
+    assert left["benchmark_decontamination"] == [-1, -1, 1, 2, 5, 6]
+    assert set(left["best_fit_packing"]) == {-1, 1, 2, 3, 4, 5, 6}
+
+
+def test_line_dedup_counts_characters_of_a_missing_text(spark):
+    docs = spark.createDataFrame([(1, None, "en", "s", 7), (2, "ab", "en", "s", 2)], FIELDS)
+    assert {r.doc_id: r.n_chars for r in corpus_pipeline.line_dedup(spark, docs, "").collect()} == {1: 0, 2: 2}

@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and works on all documents that the one before
 it kept.  What a stage returns is written as Parquet to the shared folder and read
 again, so lineage is cut there and a lost executor costs one stage at most.
+
+Defined results: a null or empty text fails the quality rules and goes there; a stage
+given one by itself keeps it like any other document (an empty line, no window, the end
+token alone).  Null ids stay; repeated rows are one document to near-dedup, which keeps
+one of them.  Texts of any length are taken whole.  No documents give no rows, with the
+same columns.  Further columns are passed through by all stages but the last, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -26,7 +33,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten or more documents go; a document that loses all keeps an empty text."""
     kept = linededup.dedup_lines(spark, docs).drop(*linededup.ADDED)
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+        kept = kept.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

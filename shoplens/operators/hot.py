@@ -90,9 +90,9 @@ class LateSplit(NamedTuple):
     late: DataFrame
 
 
-def split_late(log: DataFrame, tie: str, delay: str = "1 second", lateness: str = "1 minute",
-               slide: str = "5 seconds", size: str = "10 minutes", bits: int = RANGE_BITS) -> LateSplit:
-    """Page views in time for at least one window, and those late for all.
+def mark_late(log: DataFrame, tie: str, delay: str = "1 second", lateness: str = "1 minute",
+              slide: str = "5 seconds", size: str = "10 minutes", bits: int = RANGE_BITS) -> DataFrame:
+    """Page views with ``late``, true where no window takes them any more.
 
     ``tie`` is the arrival order.  A row is late when the watermark before it had
     passed the end of its newest window by the allowed lateness.
@@ -103,5 +103,10 @@ def split_late(log: DataFrame, tie: str, delay: str = "1 second", lateness: str
     seen = max_before(log, "timestamp", tie, "_seen", bits)
     watermark = (F.col("_seen") - to_seconds(delay)) * 1000
     late = F.coalesce(last_milli + to_seconds(lateness) * 1000 <= watermark, F.lit(False))
-    marked = page_views(seen).withColumn("_late", late).drop("_seen")
-    return LateSplit(marked.where(~F.col("_late")).drop("_late"), marked.where("_late").drop("_late"))
+    return page_views(seen).withColumn("late", late).drop("_seen")
+
+
+def split_late(log: DataFrame, tie: str, **options) -> LateSplit:
+    """Page views in time for at least one window, and those late for all; options of :func:`mark_late`."""
+    marked = mark_late(log, tie, **options)
+    return LateSplit(marked.where("NOT late").drop("late"), marked.where("late").drop("late"))

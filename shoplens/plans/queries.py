@@ -123,8 +123,7 @@ def _hot_items_sql(spark, sf):
 
 
 def _late(spark, sf):
-    split = hot.split_late(tables.delayed_access_log(spark, sf), "arrival")
-    return split.on_time.withColumn("late", F.lit(False)).unionByName(split.late.withColumn("late", F.lit(True)))
+    return hot.mark_late(tables.delayed_access_log(spark, sf), "arrival")
 
 
 def _capped(spark, sf, **options):

@@ -29,9 +29,23 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_made: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A name for a fresh folder below the shared one."""
-    return f"{shared_dir(spark)}/shoplens-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/shoplens-{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Removes the folders that this process has named, once the results read from them are written; how many there were."""
+    removed = 0
+    while _made:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        removed += bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
+    return removed
 
 
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:

@@ -261,7 +261,8 @@ def node_classes(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataF
     rare = keep(spark, _rarest(spark, texts.join(opened, "node", "left_semi")), "rare")
     asked = first.union(second)
     for turn in range(TURNS):
-        pairs = keep(spark, _by_turn(spark, _named(spark, rare, components(spark, links)), turn).join(asked, ["a", "b"], "left_anti"), "asked")
+        rows = _named(spark, rare, components(spark, links))
+        pairs = keep(spark, _by_turn(spark, rows, turn).join(asked, ["a", "b"], "left_anti"), "asked")
         links, asked = keep(spark, links.union(verified(pairs, texts)), "verified"), asked.union(pairs)
     rest = _remaining(spark, components(spark, links), texts, rare).join(asked, ["a", "b"], "left_anti")
     return keep(spark, components(spark, links.union(verified(rest, texts))), "classes")

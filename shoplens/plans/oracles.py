@@ -546,11 +546,11 @@ def stream_sql() -> dict[str, str]:
             select 'matched' as outcome, tx_id, order_id, event_type, order_time, pay_channel, receipt_time from pairs
             union all
             select 'unmatched-pay', tx_id, order_id, event_type, timestamp, null, null from pays p
-            where not exists (select 1 from pairs m where m.tx_id = p.tx_id) and (timestamp + 5)*1000 < {both_mark}
+            where not exists (select 1 from pairs m where m.tx_id = p.tx_id) and (timestamp + 5)*1000 <= {both_mark}
             union all
             select 'unmatched-receipt', tx_id, null, null, null, pay_channel, timestamp from receipt r
             where not exists (select 1 from pairs m where m.tx_id = r.tx_id)
-              and (timestamp + 3)*1000 < {both_mark}""", _TX),
+              and (timestamp + 3)*1000 <= {both_mark}""", _TX),
     }
     for name, count, label in [("pv_tumbling", "count(*)", "pv"), ("pv_salted", "count(*)", "pv"),
                                ("uv_exact", "count(distinct user_id)", "uv")]:

@@ -373,6 +373,15 @@ def test_readers_see_whole_micro_batches(spark, tmp_path):
     assert table(sinks.published(spark, path, schema, after=0).select("k")) == [(3,), (4,)]
 
 
+def test_versions_as_a_retract_stream(spark):
+    versions = spark.createDataFrame([("a", 1, 0), ("a", 3, 2), ("a", 3, 4), ("b", 7, 1)], "k STRING, n BIGINT, batch_id BIGINT")
+    story = [("a", 0, True, 1), ("a", 2, False, 1), ("a", 2, True, 3), ("a", 4, False, 3), ("a", 4, True, 3), ("b", 1, True, 7)]
+    assert table(sinks.changes(versions, ["k"])) == sorted(story)
+    skipped = [entry for entry in story if entry[1] != 4]
+    assert table(sinks.changes(versions, ["k"], skip_equal=True)) == sorted(skipped)
+    assert table(sinks.latest(versions, ["k"])) == [("a", 3), ("b", 7)]
+
+
 def test_compacted_versions_give_the_latest_rows(spark, tmp_path):
     path, base, schema = f"{tmp_path}/out", f"{tmp_path}/base", "k BIGINT, v BIGINT"
     now = {}

@@ -200,7 +200,7 @@ def _daily(spark, sf):
     feed, (orders, receipts) = _both(spark, sf)
     documents = document_rows(joins.interval_join(orders, receipts))
     _run(feed, lambda: sinks.daily_sink(documents, f"{folder}/out", f"{folder}/checkpoint", drain=True))
-    return spark.read.schema(documents.schema).json(f"{folder}/out").drop("batch_id")
+    return sinks.published(spark, f"{folder}/out", documents.schema, "json").drop("batch_id")
 
 
 def _lines_from_offset(spark, sf):

@@ -39,7 +39,7 @@ VIEWS = {
         select *, (timestamp + case when event_id%10=3 then 900 else 0 end)*2147483648 + event_id as arrival
         from access_log""",
     # events so many times as fast, of which some arrive late
-    "rush_access_log": _rush("access_log", 240),
+    "rush_access_log": _rush("access_log", 480),
     "rush_user_behavior": _rush("user_behavior"),
     "rush_marketing": _rush("marketing"),
     "late_ad_click": _arriving("ad_click", "l_orderkey"),

@@ -129,7 +129,7 @@ def _top_n(spark, sf):
                        sink=lambda df, path, cp: sinks.top_n_sink(df, "item_id", path, cp, drain=True))(spark, sf)
 
 
-PAGE_DELAY, PAGES_FAST = "1 second", 240
+PAGE_DELAY, PAGES_FAST = "1 second", 480
 
 
 def _hot_pages(spark, sf):

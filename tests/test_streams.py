@@ -314,6 +314,28 @@ def test_order_pattern(spark, tmp_path):
     assert table(got) == sorted(want)
 
 
+def state_rows(stream, folder):
+    """The most rows that the state of a drained stream held."""
+    query = sinks.append_sink(stream, f"{folder}/out", f"{folder}/checkpoint", drain=True)
+    query.awaitTermination()
+    return max(state["numRowsTotal"] for progress in query.recentProgress for state in progress["stateOperators"])
+
+
+@pytest.mark.parametrize("monitor", ["orders", "logins"])
+def test_state_of_machines_is_kept_by_bucket(spark, tmp_path, monkeypatch, monitor):
+    """A value and a timer or two for each bucket, however many orders or users wait."""
+    monkeypatch.setattr(processors, "BUCKETS", 8, raising=False)
+    if monitor == "orders":
+        rows = [(n, "create", "", H + n % 50) for n in range(400)]
+        stream = with_event_time(feed(spark, tmp_path / "in", [rows, [(9999, "create", "", H + 200)]], schemas.ORDER))
+        machine = processors.order_pay_monitor(stream)
+    else:
+        rows = [(n, "ip", "fail", H + n % 3, n) for n in range(400)]
+        stream = with_event_time(feed(spark, tmp_path / "in", [rows, [(9999, "ip", "fail", H + 5, 0)]], LOGIN))
+        machine = processors.login_fail_window(stream, "seq")
+    assert 0 < state_rows(machine, tmp_path) <= 5 * 8
+
+
 CLICK = schemas.AD_CLICK + ", tie BIGINT"
 
 

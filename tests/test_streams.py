@@ -378,6 +378,17 @@ def test_rolling_cycles_equal_batch(spark, tmp_path):
     assert pairs == table(warned.select("user_id", "ad_id")) and len(pairs) > len(set(pairs))
 
 
+@pytest.mark.parametrize("rolling", [True, False])
+def test_state_of_the_click_cap_is_kept_by_bucket(spark, tmp_path, monkeypatch, rolling):
+    monkeypatch.setattr(processors, "BUCKETS", 8, raising=False)
+    batches = [[(n, 1, "p", "c", H + n % 7, n) for n in range(400)], [(n, 1, "p", "c", H + 9, n) for n in range(0, 400, 3)]]
+    stream = with_event_time(feed(spark, tmp_path / "in", batches, CLICK))
+    capped = processors.cap_clicks(stream, ["tie"], cap=1, rolling=rolling)
+    assert 0 < state_rows(capped, tmp_path) <= 5 * 8
+    kinds = spark.read.parquet(f"{tmp_path}/out").groupBy("kind").count()
+    assert table(kinds) == [("pass", 400), ("warn", 134)]
+
+
 def test_readers_see_whole_micro_batches(spark, tmp_path):
     path = str(tmp_path / "out")
     schema = "k BIGINT, day STRING"

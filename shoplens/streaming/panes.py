@@ -139,15 +139,17 @@ class SlidingCounts(StatefulProcessor):
 
     def _corrected(self, panes: dict, new: dict, gone: int, closed: int) -> Iterator[tuple]:
         """Windows already given out that new rows reach in time, with the count before (null if there was none)."""
-        for first, last, more in self._spans(new, gone, closed):
-            at = first
-            for low, high, before in self._spans(panes, first - self.slide, last):
-                if at < low:
-                    yield at, low - self.slide, more, None
-                yield low, high, before + more, before
-                at = high + self.slide
-            if at <= last:
-                yield at, last, more, None
+        steps: dict[int, list[int]] = {}
+        for which, counts in enumerate((panes, new)):
+            for at, n in counts.items():
+                for place, change in ((at + self.slide, n), (at + self.size + self.slide, -n)):
+                    steps.setdefault(place, [0, 0])[which] += change
+        before, more, ends = 0, 0, sorted(steps)
+        for begin, end in zip(ends, ends[1:]):
+            before, more = before + steps[begin][0], more + steps[begin][1]
+            first, last = max(begin, gone + self.slide), min(end - self.slide, closed)
+            if more and first <= last:
+                yield first, last, before + more, before or None
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         closed, gone = self._bounds(timerValues)

@@ -12,7 +12,7 @@ from shoplens.sinks.documents import document_rows
 from shoplens.sources import decode
 from shoplens.sources.lines import kafka_options, lines, multi_lines, register, with_event_time
 from shoplens.streaming import joins, processors, windows
-from shoplens.streaming.panes import retractions, sliding_counts
+from shoplens.streaming.panes import SlidingCounts, retractions, sliding_counts
 from tests.test_micro import CONSECUTIVE, MONITORED, PAIRED, REPEATED, WINDOWED, H, table
 
 CLOSE = H + 30 * 86_400  # a last row this late closes everything before it
@@ -228,6 +228,22 @@ def test_ranks_change_with_late_rows(spark, tmp_path):
     assert sorted(final) == [(True, 1, 1, 2), (True, 2, 2, 1)]  # too long ago to be corrected
 
 
+def test_corrections_take_one_pass_over_the_panes(monkeypatch):
+    """As many spans are read for the windows that a late row reaches as there are, not once more for each of them."""
+    counts = SlidingCounts(600, 5, 60, None)
+    rng = random.Random(4)
+    panes, new = ({5 * rng.randrange(2000): rng.randrange(1, 9) for _ in range(n)} for n in (900, 700))
+    gone, closed = 4000, 9000
+    at = lambda held, end: sum(n for pane, n in held.items() if end - 600 <= pane < end)
+    want = [(end, at(panes, end) + at(new, end), at(panes, end) or None)
+            for end in range(gone + 5, closed + 1, 5) if at(new, end)]
+    passes = []
+    monkeypatch.setattr(SlidingCounts, "_spans", lambda *args, old=SlidingCounts._spans: passes.append(1) or old(*args))
+    spans = list(counts._corrected(panes, new, gone, closed))
+    got = [(end, count, before) for first, last, count, before in spans for end in range(first, last + 1, 5)]
+    assert got == want != [] and len(passes) <= 2
+
+
 # --- state machines ----------------------------------------------------------------------------
 
 

@@ -66,6 +66,8 @@ def _starts(clicks: DataFrame, cycle_s: int) -> DataFrame:
     """
     spark = clicks.sparkSession
     seconds = clicks.select(*PAIR, F.col("timestamp").cast("bigint").alias("_at")).where("_at IS NOT NULL").distinct()
+    # written: else a task of the union below makes the rows distinct twice at a time
+    seconds = written(spark, seconds, "seconds")
     jump = written(spark, _following(seconds, cycle_s), "jumps")
     found = jump.groupBy(*PAIR).agg(F.min("_at").alias("_at"))
     while True:

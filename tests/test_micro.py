@@ -406,3 +406,13 @@ def test_decoders(spark, kind):
         decode.decode(lines, kind).count()
     with pytest.raises(ValueError):
         decode.decode(lines, kind, "other")
+
+
+def test_seconds_of_rolling_cycles_are_made_distinct_once(spark, monkeypatch):
+    plans, write = [], ads.written
+    monkeypatch.setattr(ads, "written", lambda session, df, label: plans.append(
+        (label, df._jdf.queryExecution().optimizedPlan().toString())) or write(session, df, label))
+    clicks = spark.range(40).selectExpr("id % 3 AS user_id", "id % 2 AS ad_id", "id * 9000 AS timestamp", "id AS tie")
+    passed, _ = ads.cap_clicks_from_first(clicks, ["tie"], cap=5)
+    assert passed.count() > 0
+    assert [label for label, plan in plans if "Range (" in plan] == ["seconds"]
